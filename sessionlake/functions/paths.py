@@ -26,7 +26,7 @@ def parse_upload_path(path: Column) -> dict[str, Column]:
     return {
         "customer": F.try_element_at(parts, F.lit(-4)),
         "entity": F.try_element_at(parts, F.lit(-3)),
-        "upload_date": F.try_to_date(F.try_element_at(parts, F.lit(-2)), F.lit("yyyy-MM-dd")),
+        "upload_date": F.try_to_date(F.try_element_at(parts, F.lit(-2)), "yyyy-MM-dd"),
         "file": F.try_element_at(parts, F.lit(-1)),
     }
 

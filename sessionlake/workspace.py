@@ -40,3 +40,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """True if a file or folder is there, on any file system Spark can reach."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
