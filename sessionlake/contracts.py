@@ -8,6 +8,7 @@ from pyspark.sql.types import (
     DataType,
     DateType,
     DoubleType,
+    IntegerType,
     LongType,
     StringType,
     StructField,
@@ -193,6 +194,7 @@ MONTH = ["year", "month"]
 # A session with more hits than a row should hold goes on in further rows;
 # PART numbers them from 0. Nearly every session has part 0 only.
 PART = "part"
+PART_FIELD = StructField(PART, IntegerType())
 
 # Envelope of a change record; the payload columns follow.
 CHANGE_ENVELOPE = record(

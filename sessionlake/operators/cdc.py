@@ -36,8 +36,9 @@ def apply_changes(
 ) -> DataFrame:
     """``base`` after inserts, updates and deletes; ``base`` has one row per key.
 
-    Rows of ``base`` without a change pass through an anti join, for which a
-    small batch of changes is broadcast by its measured size.
+    Rows of ``base`` without a change pass through an anti join. Changes read
+    from small files are broadcast by their known size, and ``base`` is then
+    not shuffled at all.
     """
     last = latest(changes, keys, order)
     same = reduce(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from sessionlake.contracts import FEATURES
 from sessionlake.operators.nested import explode_hits, flatten
 
+HIT_FIELDS = ["dataSource", "page.pagePath", "page.hostname", "page.pageTitle"]
 NUMERIC_FEATURES = ["body_visitNumber", "body_visitStartTime", "body_date", "body_totals_visits"]
 
 
@@ -28,7 +29,8 @@ def features(
         raw = raw.filter(F.col("date") >= start.strftime("%Y%m%d"))
     if end is not None:
         raw = raw.filter(F.col("date") <= end.strftime("%Y%m%d"))
-    return flatten(explode_hits(raw), prefix="body_").select(*columns)
+    hits = explode_hits(raw, fields=HIT_FIELDS)
+    return flatten(hits, prefix="body_").select(*columns)
 
 
 def fit_clusters(df: DataFrame, k: int = 4, seed: int = 1, hash_size: int = 1 << 14) -> PipelineModel:

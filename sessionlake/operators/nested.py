@@ -41,15 +41,22 @@ def flatten(df: DataFrame, prefix: str = "", sep: str = "_") -> DataFrame:
     return df.select(leaves(df.schema, []))
 
 
-def explode_hits(df: DataFrame, column: str = "hits", outer: bool = True) -> DataFrame:
+def explode_hits(
+    df: DataFrame, column: str = "hits", outer: bool = True, fields: list[str] | None = None
+) -> DataFrame:
     """One row per array item, the item replacing the array.
 
     ``outer`` keeps rows whose array is empty or NULL, as a left join of the
-    array would; without it they are dropped, as by a cross join.
+    array would; without it they are dropped, as by a cross join. ``fields``
+    names the leaves to keep, ``page.pagePath`` as ``page_pagePath``; a scan
+    then reads these only, which it cannot see behind a plain explode.
     """
+    items = F.col(column)
+    if fields is not None:
+        items = F.arrays_zip(*[F.col(f"{column}.{f}").alias(f.replace(".", "_")) for f in fields])
     explode = F.explode_outer if outer else F.explode
     rest = [c for c in df.columns if c != column]
-    return df.select(*rest, explode(column).alias(column))
+    return df.select(*rest, explode(items).alias(column))
 
 
 def unwrap_list(c: Column) -> Column:

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from sessionlake.contracts import MONTH, PART, RAW, GOLD
+from sessionlake.contracts import GOLD, MONTH, PART, PART_FIELD, RAW, restrict
 from sessionlake.functions.dates import epoch_seconds, ymd
 from sessionlake.operators.conform import conform, conform_column
 from sessionlake.operators.nested import nest
@@ -214,14 +215,18 @@ def lake(spark: SparkSession, sf_dir: str) -> str:
         raw = order_sessions(spark, sf_dir)
         date = conform_column(F.col("date"), RAW["date"].dataType, GOLD["date"].dataType)
         write_zone(raw.select("*", *ymd(date)[:2]), f"{root}/bronze", by=MONTH)
-        gold = conform(spark.read.parquet(f"{root}/bronze"), GOLD, keep=[PART, *MONTH])
+        needed = StructType([*restrict(RAW, GOLD).fields, PART_FIELD])
+        stored = spark.read.schema(needed).parquet(f"{root}/bronze")
+        gold = conform(stored, GOLD, keep=[PART, *MONTH])
         write_zone(gold, f"{root}/gold", by=MONTH)
         _lakes[key] = root
     return _lakes[key]
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{lake(spark, sf_dir)}/bronze")
+def bronze(spark: SparkSession, sf_dir: str, schema: StructType | None = None) -> DataFrame:
+    """The bronze zone; with ``schema`` only its columns and leaves are read."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(f"{lake(spark, sf_dir)}/bronze")
 
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:

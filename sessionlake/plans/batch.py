@@ -21,9 +21,6 @@ from sessionlake.sources.files import CORRUPT, read_sessions
 from sessionlake.sources.warehouse import publish, stage, unstage
 from sessionlake.sources.zones import read_zone, write_zone
 
-PART_FIELD = StructField(PART, IntegerType())
-
-
 @dataclass(frozen=True)
 class Refined:
     """Where the zones of an upload are, its days, and the rows seen at each step."""

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sessionlake.contracts import GOLD, PART, SESSION_KEY, SILVER_TYPES, record
+from sessionlake.contracts import GOLD, PART, PART_FIELD, RAW, SESSION_KEY, SILVER_TYPES, record, restrict
 from sessionlake.functions.dates import date_group, day_of, epoch_seconds, parse_date, two_digits, ymd
 from sessionlake.functions.paths import (
     data_glob,
@@ -261,25 +261,29 @@ def conform_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def conform_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits and their nested page and transaction cast in place, without a shuffle."""
-    made = conform(bronze(spark, sf_dir), GOLD).select(
+    needed = StructType([*restrict(RAW, GOLD).fields, PART_FIELD])
+    made = conform(bronze(spark, sf_dir, needed), GOLD).select(
         "visitId",
         F.when(F.col("hits").isNull(), 0).otherwise(F.size("hits")).alias("n"),
-        total("hits", lambda h: h["transaction"]["transactionRevenue"]).alias("revenue"),
-        total("hits", lambda h: h["time"]).alias("time"),
-        total("hits", lambda h: h["isExit"].cast("bigint")).alias("exits"),
-        total("hits", lambda h: h["isInteraction"].cast("bigint")).alias("interactions"),
+        total("hits.transaction.transactionRevenue").alias("revenue"),
+        total("hits.time").alias("time"),
+        true_count("hits.isExit").alias("exits"),
+        true_count("hits.isInteraction").alias("interactions"),
     )
     sums = [F.sum(c).alias(c) for c in ("revenue", "time", "exits", "interactions")]
     per_session = made.groupBy(F.col("visitId").alias("visit_id")).agg(F.sum("n").alias("n_hits"), *sums)
     return as_text(per_session)
 
 
-def total(array: str, value) -> Column:
-    """Sum of a value over the items of an array; 0 for a NULL array."""
+def total(leaf: str) -> Column:
+    """Sum of a numeric leaf over the items of an array; 0 for a NULL array."""
     zero = F.lit(0).cast("bigint")
-    return F.coalesce(
-        F.aggregate(array, zero, lambda acc, x: acc + F.coalesce(value(x), zero)), zero
-    )
+    return F.coalesce(F.aggregate(leaf, zero, lambda acc, x: acc + F.coalesce(x, zero)), zero)
+
+
+def true_count(leaf: str) -> Column:
+    """Number of items of an array whose boolean leaf is true; 0 for a NULL array."""
+    return F.greatest(F.size(F.filter(leaf, lambda x: x)), F.lit(0)).cast("bigint")
 
 
 @query(
@@ -341,7 +345,9 @@ def struct_unpack(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def flatten_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One flat row per hit with prefixed column names."""
-    flat = flatten(explode_hits(bronze(spark, sf_dir), outer=False), prefix="body_")
+    leaves = ["hitNumber", "page.pagePath", "transaction.transactionRevenue"]
+    hits = explode_hits(bronze(spark, sf_dir), outer=False, fields=leaves)
+    flat = flatten(hits, prefix="body_")
     return flat.select(
         "body_visitId", "body_geoNetwork_country", "body_hits_hitNumber",
         "body_hits_page_pagePath", "body_hits_transaction_transactionRevenue",
@@ -364,7 +370,7 @@ def unwrap_list_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return plain.groupBy(F.col("visitId").alias("visit_id")).agg(
         F.sum(F.size("hits")).cast("bigint").alias("n_hits"),
-        F.sum(total("hits", lambda h: h["transaction"]["transactionRevenue"])).alias("revenue"),
+        F.sum(total("hits.transaction.transactionRevenue")).alias("revenue"),
     )
 
 
@@ -386,7 +392,7 @@ def per_session(nested: DataFrame) -> DataFrame:
     """Facts about the hits of each session, over all its parts."""
     return nested.groupBy(F.col("visitId").cast("string").alias("visit_id")).agg(
         F.sum(F.size("hits")).cast("bigint").alias("n_hits"),
-        F.sum(total("hits", lambda h: h["transaction"]["transactionRevenue"])).alias("revenue"),
+        F.sum(total("hits.transaction.transactionRevenue")).alias("revenue"),
         F.min(F.col("hits")[0]["hitNumber"]).cast("int").alias("first_hit"),
         F.max(F.element_at("hits", -1)["hitNumber"]).cast("int").alias("last_hit"),
         F.bool_and(in_order("hits")).alias("in_order"),
@@ -421,7 +427,8 @@ UNNESTED = """
 
 
 def unnested(spark: SparkSession, sf_dir: str, outer: bool) -> DataFrame:
-    rows = explode_hits(gold(spark, sf_dir).select("visitId", "hits"), outer=outer)
+    sessions = gold(spark, sf_dir).select("visitId", "hits")
+    rows = explode_hits(sessions, outer=outer, fields=["hitNumber", "type"])
     number = F.coalesce(F.col("hits.hitNumber").cast("string"), F.lit("none"))
     return rows.select(F.col("visitId").alias("visit_id"), number.alias("hit_number"), "hits.type")
 

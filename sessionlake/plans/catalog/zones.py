@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sessionlake.contracts import GOLD, PART, RAW, SESSION_KEY
+from sessionlake.contracts import GOLD, PART, PART_FIELD, RAW, SESSION_KEY
 from sessionlake.operators.audit import row_count
 from sessionlake.plans.adapt import event_sessions, table
-from sessionlake.plans.batch import PART_FIELD, Refined, publish_upload, refine
+from sessionlake.plans.batch import Refined, publish_upload, refine
 from sessionlake.plans.catalog.conforming import total
 from sessionlake.plans.catalog.registry import query
 from sessionlake.sources.files import export_ndjson
@@ -63,7 +63,7 @@ def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     zone = refined(spark, sf_dir).zone(spark, "bronze")
     return zone.groupBy(*[F.col(c).cast("bigint").alias(c) for c in ("year", "month", "day")]).agg(
         F.count_if(F.col(PART) == 0).alias("sessions"),
-        F.sum(F.size("hits")).cast("bigint").alias("hits"),
+        F.sum(F.size("hits.hitNumber")).cast("bigint").alias("hits"),
         F.min("date").alias("date_text"),
     )
 
@@ -107,10 +107,10 @@ def gold_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return zone.groupBy(F.col("date").cast("string").alias("date")).agg(
         F.count_if(first).alias("sessions"),
-        F.sum(F.size("hits")).cast("bigint").alias("hits"),
+        F.sum(F.size("hits.hitNumber")).cast("bigint").alias("hits"),
         once("totals.transactionRevenue").alias("revenue"),
         once("totals.transactions").alias("purchases"),
-        F.sum(total("hits", lambda h: h["transaction"]["transactionRevenue"])).alias("hit_revenue"),
+        F.sum(total("hits.transaction.transactionRevenue")).alias("hit_revenue"),
         once("totals.bounces").alias("bounces"),
     )
 
@@ -142,7 +142,7 @@ def publish_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     final = published(spark, sf_dir)
     return spark.table(final).groupBy(F.col("date").cast("string").alias("date")).agg(
         F.count_if(F.col(PART) == 0).alias("sessions"),
-        F.sum(F.size("hits")).cast("bigint").alias("hits"),
+        F.sum(F.size("hits.hitNumber")).cast("bigint").alias("hits"),
         F.coalesce(
             F.sum(F.when(F.col(PART) == 0, F.col("totals.transactionRevenue"))), F.lit(0)
         ).alias("revenue"),
@@ -186,7 +186,7 @@ def load_parquet_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     final = spark.table(f"`{database}`.sessions")
     return final.groupBy(
         F.col("visitId").cast("string").alias("visit_id"), F.col("date").cast("string").alias("date")
-    ).agg(F.sum(F.size("hits")).cast("bigint").alias("n_hits"))
+    ).agg(F.sum(F.size("hits.hitNumber")).cast("bigint").alias("n_hits"))
 
 
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:

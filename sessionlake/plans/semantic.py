@@ -48,7 +48,10 @@ PRIMARY_KEY = "fullVisitorId"
 
 
 def dimension(ref: str) -> Column:
-    """The column of ``view.dimension``; ``date.<timeframe>`` is the date group."""
+    """The column of ``view.dimension``; ``date.<timeframe>`` is the date group.
+
+    A hit dimension is the array of that leaf over the session's hits.
+    """
     view, _, name = ref.partition(".")
     if view == "date":
         return date_group(F.col("date"))[f"date_{name}"]
@@ -64,7 +67,7 @@ def is_hit_level(ref: str) -> bool:
 
 
 def predicate(ref: str, value: object, columns: list[str], keep_null: bool = True) -> Column:
-    """The filter ``ref = value``. Text with a leading minus means "is not".
+    """The session filter ``ref = value``. Text with a leading minus means "is not".
 
     "Is not" keeps NULLs unless ``keep_null`` is off. Year and month filters
     use the partition columns where the sessions have them, else a date range
@@ -78,7 +81,10 @@ def predicate(ref: str, value: object, columns: list[str], keep_null: bool = Tru
     if ref == "date.month_name":
         month = F.col("month") if "month" in columns else F.month("date")
         return month == month_number(value)
-    c = dimension(ref)
+    return compare(dimension(ref), value, keep_null)
+
+
+def compare(c: Column, value: object, keep_null: bool = True) -> Column:
     if isinstance(value, str) and value.startswith("-"):
         return ~c.eqNullSafe(value[1:]) if keep_null else c != value[1:]
     return c == value
@@ -105,11 +111,14 @@ def explore(
         if PART in sessions.columns:
             sessions = sessions.filter(F.col(PART) == 0)
         return sessions.select(*session_fields).select(*[label(r) for r in fields], *(hidden or {}))
-    hits = sessions.select(*session_fields, F.explode_outer("hits").alias("hits"))
+    # only the leaves in use, so the scan does not read whole hits
+    leaves = {label(r): dimension(r) for r in dict.fromkeys(hit_refs)}
+    zipped = F.arrays_zip(*[c.alias(n) for n, c in leaves.items()])
+    hits = sessions.select(*session_fields, F.explode_outer(zipped).alias("_hit"))
     for ref, value in filters.items():
-        hits = hits.filter(predicate(ref, value, []))
+        hits = hits.filter(compare(F.col("_hit")[label(ref)], value))
     return hits.select(
-        *[dimension(r).alias(label(r)) if is_hit_level(r) else label(r) for r in fields],
+        *[F.col("_hit")[label(r)].alias(label(r)) if is_hit_level(r) else label(r) for r in fields],
         *(hidden or {}),
     )
 
