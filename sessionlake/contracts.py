@@ -202,25 +202,23 @@ CHANGE_ENVELOPE = record(
 )
 
 
-def restrict(schema: StructType, wanted: StructType) -> StructType:
-    """The fields of ``schema`` that ``wanted`` names, at every level.
+def read_schema(have: StructType, contract: StructType) -> StructType:
+    """The contract's fields and order with the types the files have.
 
     Given to a reader it keeps the scan to the leaves the contract needs, also
-    inside arrays, where column pruning does not reach through lambdas.
+    inside arrays, and gives rows the contract's shape, which one cast then
+    brings to its types. Fields the files lack are read as NULL text.
     """
 
-    def inner(have: DataType, want: DataType) -> DataType:
-        if isinstance(have, StructType) and isinstance(want, StructType):
-            return restrict(have, want)
-        if isinstance(have, ArrayType) and isinstance(want, ArrayType):
-            return ArrayType(inner(have.elementType, want.elementType))
-        return have
+    def shaped(had: DataType | None, want: DataType) -> DataType:
+        if isinstance(want, StructType):
+            return read_schema(had if isinstance(had, StructType) else StructType([]), want)
+        if isinstance(want, ArrayType):
+            item = had.elementType if isinstance(had, ArrayType) else None
+            return ArrayType(shaped(item, want.elementType))
+        return StringType() if had is None else had
 
-    names = set(wanted.fieldNames())
+    types = {f.name: f.dataType for f in have.fields}
     return StructType(
-        [
-            StructField(f.name, inner(f.dataType, wanted[f.name].dataType))
-            for f in schema.fields
-            if f.name in names
-        ]
+        [StructField(f.name, shaped(types.get(f.name), f.dataType)) for f in contract.fields]
     )

@@ -11,31 +11,55 @@ from pyspark.sql.types import ArrayType, DataType, DateType, MapType, StringType
 from sessionlake.functions.dates import parse_date
 
 
-def conform_column(c: Column, have: DataType | None, want: DataType) -> Column:
+def same_shape(have: DataType, want: DataType) -> bool:
+    """True if the types differ in their leaves only, so that a cast can bridge them."""
+    if isinstance(want, StructType):
+        return (
+            isinstance(have, StructType)
+            and have.fieldNames() == want.fieldNames()
+            and all(same_shape(h.dataType, w.dataType) for h, w in zip(have.fields, want.fields))
+        )
+    if isinstance(want, ArrayType):
+        return isinstance(have, ArrayType) and same_shape(have.elementType, want.elementType)
+    if isinstance(have, (StructType, ArrayType, MapType)):
+        return False
+    # a text date has a format of its own
+    return not (isinstance(want, DateType) and isinstance(have, StringType))
+
+
+def conform_column(c: Column, have: DataType | None, want: DataType, item: bool = False) -> Column:
     """``c``, of type ``have``, as ``want``. ``have`` None means the field is absent.
 
-    Structs are always built, so an absent struct becomes one of NULLs. Arrays
-    are changed in place, without exploding them, and a NULL array stays NULL.
-    Values that do not fit the wanted type become NULL.
+    Values that do not fit become NULL. Structs of the root are always built,
+    so an absent one becomes a struct of NULLs; inside array items (``item``) a
+    NULL struct stays NULL. Arrays are changed in place, not exploded: with one
+    compiled cast if their items have the wanted shape, as those read with
+    ``read_schema`` do, else item by item.
     """
+    if have is None and (item or not isinstance(want, StructType)):
+        return F.lit(None).cast(want)
     if isinstance(want, StructType):
         fields = {f.name: f.dataType for f in have.fields} if isinstance(have, StructType) else {}
-        return F.struct(
+        made = F.struct(
             *[
                 conform_column(
                     c.getField(f.name) if f.name in fields else F.lit(None),
                     fields.get(f.name),
                     f.dataType,
+                    item,
                 ).alias(f.name)
                 for f in want.fields
             ]
         )
-    if have is None:
-        return F.lit(None).cast(want)
+        return F.when(c.isNotNull(), made) if item else made
     if isinstance(want, ArrayType):
         if not isinstance(have, ArrayType):
             return F.lit(None).cast(want)
-        return F.transform(c, lambda x: conform_column(x, have.elementType, want.elementType))
+        if same_shape(have, want):
+            return c if have == want else c.try_cast(want)
+        return F.transform(
+            c, lambda x: conform_column(x, have.elementType, want.elementType, item=True)
+        )
     if have == want:
         return c
     if isinstance(have, (StructType, ArrayType, MapType)) and not isinstance(want, StringType):

@@ -6,11 +6,13 @@ events of a user on one day. Both give the raw record: numbers as text.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sessionlake.contracts import GOLD, MONTH, PART, PART_FIELD, RAW, restrict
+from sessionlake.contracts import GOLD, MONTH, PART, PART_FIELD, RAW, read_schema
 from sessionlake.functions.dates import epoch_seconds, ymd
 from sessionlake.operators.conform import conform, conform_column
 from sessionlake.operators.nested import nest
@@ -36,10 +38,22 @@ def cents(c: Column) -> Column:
     return F.round(c * 100).cast("bigint")
 
 
-def _raw(df: DataFrame, **columns: Column) -> DataFrame:
-    """Raw records from the given columns; fields that are not given are NULL."""
-    made = df.select(*[c.alias(n) for n, c in columns.items()], PART)
-    return conform(made, RAW, keep=[PART])
+def build(want: StructType, given: Mapping[str, Column | Mapping]) -> list[Column]:
+    """The fields of ``want`` from (nested) columns by name; those not given are NULL."""
+    return [
+        F.struct(*build(f.dataType, given.get(f.name, {}))).alias(f.name)
+        if isinstance(f.dataType, StructType)
+        else given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in want.fields
+    ]
+
+
+def raw_hit(**fields: Column | Mapping) -> Column:
+    return F.struct(*build(RAW["hits"].dataType.elementType, fields))
+
+
+def raw_sessions(df: DataFrame, **fields: Column | Mapping) -> DataFrame:
+    return df.select(*build(RAW, fields), PART)
 
 
 def order_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,27 +75,26 @@ ORDER_ITEM = [
 
 def order_hit(order: Column, item: Column) -> Column:
     """A raw hit from a line item."""
-    fields = {
-        "hitNumber": text(item["l_linenumber"]),
-        "time": text(item["l_partkey"]),
-        "isInteraction": item["l_quantity"] > 25,
-        "isEntrance": item["l_linenumber"] == 1,
-        "isExit": item["l_linestatus"] == "F",
-        "page": F.struct(
-            F.concat(F.lit("/"), text(item["l_suppkey"])).alias("pagePath"),
-            F.lit("shop.example").alias("hostname"),
-            F.concat(F.lit("Item "), text(item["l_partkey"])).alias("pageTitle"),
-        ),
-        "transaction": F.struct(
-            F.lit("USD").alias("currencyCode"),
-            F.concat_ws("-", text(order), text(item["l_linenumber"])).alias("transactionId"),
-            text(cents(item["l_extendedprice"])).alias("transactionRevenue"),
-            text(cents(item["l_tax"])).alias("transactionTax"),
-        ),
-        "type": item["l_returnflag"],
-        "dataSource": item["l_linestatus"],
-    }
-    return F.struct(*[c.alias(n) for n, c in fields.items()])
+    return raw_hit(
+        hitNumber=item["l_linenumber"],
+        time=item["l_partkey"],
+        isInteraction=item["l_quantity"] > 25,
+        isEntrance=item["l_linenumber"] == 1,
+        isExit=item["l_linestatus"] == "F",
+        page={
+            "pagePath": F.concat(F.lit("/"), text(item["l_suppkey"])),
+            "hostname": F.lit("shop.example"),
+            "pageTitle": F.concat(F.lit("Item "), text(item["l_partkey"])),
+        },
+        transaction={
+            "currencyCode": F.lit("USD"),
+            "transactionId": F.concat_ws("-", text(order), text(item["l_linenumber"])),
+            "transactionRevenue": cents(item["l_extendedprice"]),
+            "transactionTax": cents(item["l_tax"]),
+        },
+        type=item["l_returnflag"],
+        dataSource=item["l_linestatus"],
+    )
 
 
 def order_sessions(spark: SparkSession, sf_dir: str, part_items: int = PART_ITEMS) -> DataFrame:
@@ -91,36 +104,35 @@ def order_sessions(spark: SparkSession, sf_dir: str, part_items: int = PART_ITEM
         order_roots(spark, sf_dir), items, ["l_orderkey"], F.struct(*ORDER_ITEM), "hits",
         order_by=F.col("l_linenumber"), spread_by=["_row"], part_items=part_items,
     )
-    revenue = text(cents(F.col("o_totalprice")))
-    return _raw(
+    return raw_sessions(
         nested,
-        visitNumber=F.lit("1"),
-        visitId=text(F.col("l_orderkey")),
-        visitStartTime=text(epoch_seconds(F.col("o_orderdate"))),
+        visitNumber=F.lit(1),
+        visitId=F.col("l_orderkey"),
+        visitStartTime=epoch_seconds(F.col("o_orderdate")),
         date=F.date_format("o_orderdate", "yyyyMMdd"),
-        totals=F.struct(
-            F.lit("1").alias("visits"),
-            text(F.col("n_items")).alias("hits"),
-            revenue.alias("transactionRevenue"),
-            text((F.col("o_orderstatus") == "F").cast("int")).alias("transactions"),
-        ),
-        trafficSource=F.struct(
-            F.col("o_orderpriority").alias("source"),
-            (F.col("o_orderstatus") == "O").alias("isTrueDirect"),
-        ),
-        device=F.struct(
-            F.col("o_orderstatus").alias("operatingSystem"),
-            F.col("c_mktsegment").alias("deviceCategory"),
-            (F.col("c_mktsegment") == "MACHINERY").alias("isMobile"),
-        ),
-        geoNetwork=F.struct(
-            F.col("r_name").alias("continent"),
-            F.col("r_name").alias("subContinent"),
-            F.col("n_name").alias("country"),
-            F.col("c_mktsegment").alias("city"),
-        ),
+        totals={
+            "visits": F.lit(1),
+            "hits": F.col("n_items"),
+            "transactionRevenue": cents(F.col("o_totalprice")),
+            "transactions": (F.col("o_orderstatus") == "F").cast("int"),
+        },
+        trafficSource={
+            "source": F.col("o_orderpriority"),
+            "isTrueDirect": F.col("o_orderstatus") == "O",
+        },
+        device={
+            "operatingSystem": F.col("o_orderstatus"),
+            "deviceCategory": F.col("c_mktsegment"),
+            "isMobile": F.col("c_mktsegment") == "MACHINERY",
+        },
+        geoNetwork={
+            "continent": F.col("r_name"),
+            "subContinent": F.col("r_name"),
+            "country": F.col("n_name"),
+            "city": F.col("c_mktsegment"),
+        },
         hits=F.transform("hits", lambda item: order_hit(F.col("l_orderkey"), item)),
-        fullVisitorId=text(F.col("o_custkey")),
+        fullVisitorId=F.col("o_custkey"),
         channelGrouping=F.col("o_orderpriority"),
         socialEngagementType=F.lit("Not Socially Engaged"),
     )
@@ -130,24 +142,22 @@ EVENT_ITEM = ["event_id", "ts", "event_type", "value", "props"]
 
 
 def event_hit(item: Column) -> Column:
-    """A raw hit from an event; only purchases carry a transaction."""
-    fields = {
-        "hitNumber": text(item["event_id"]),
-        "time": text(epoch_seconds(item["ts"])),
-        "isInteraction": item["event_type"] != "view",
-        "isEntrance": item["event_type"] == "signup",
-        "isExit": item["event_type"] == "error",
-        "page": F.struct(
-            F.concat(F.lit("/"), F.get_json_object(item["props"], "$.k")).alias("pagePath"),
-            F.lit("events.example").alias("hostname"),
-        ),
-        "transaction": F.when(
-            item["event_type"] == "purchase",
-            F.struct(text(cents(item["value"])).alias("transactionRevenue")),
-        ),
-        "type": item["event_type"],
-    }
-    return F.struct(*[c.alias(n) for n, c in fields.items()])
+    """A raw hit from an event; only purchases have revenue."""
+    return raw_hit(
+        hitNumber=item["event_id"],
+        time=epoch_seconds(item["ts"]),
+        isInteraction=item["event_type"] != "view",
+        isEntrance=item["event_type"] == "signup",
+        isExit=item["event_type"] == "error",
+        page={
+            "pagePath": F.concat(F.lit("/"), F.get_json_object(item["props"], "$.k")),
+            "hostname": F.lit("events.example"),
+        },
+        transaction={
+            "transactionRevenue": F.when(item["event_type"] == "purchase", cents(item["value"]))
+        },
+        type=item["event_type"],
+    )
 
 
 def event_sessions(spark: SparkSession, sf_dir: str, part_items: int = PART_ITEMS) -> DataFrame:
@@ -162,19 +172,19 @@ def event_sessions(spark: SparkSession, sf_dir: str, part_items: int = PART_ITEM
         roots, events, ["user_id", "day"], F.struct(*EVENT_ITEM), "hits",
         order_by=F.col("event_id"), spread_by=["_row"], part_items=part_items,
     )
-    return _raw(
+    return raw_sessions(
         nested,
-        visitNumber=text(F.dayofmonth("day")),
-        visitId=text(F.col("user_id")),
-        visitStartTime=text(epoch_seconds(F.col("start"))),
+        visitNumber=F.dayofmonth("day"),
+        visitId=F.col("user_id"),
+        visitStartTime=epoch_seconds(F.col("start")),
         date=F.date_format("day", "yyyyMMdd"),
-        totals=F.struct(
-            F.lit("1").alias("visits"),
-            text(F.col("n_items")).alias("hits"),
-            F.when(F.col("n_items") == 1, "1").alias("bounces"),
-            text(F.col("n_purchases")).alias("transactions"),
-            text(F.col("revenue")).alias("transactionRevenue"),
-        ),
+        totals={
+            "visits": F.lit(1),
+            "hits": F.col("n_items"),
+            "bounces": F.when(F.col("n_items") == 1, 1),
+            "transactions": F.col("n_purchases"),
+            "transactionRevenue": F.col("revenue"),
+        },
         hits=F.transform("hits", event_hit),
         fullVisitorId=F.concat(F.lit("user-"), text(F.col("user_id"))),
         channelGrouping=F.lit("Direct"),
@@ -215,7 +225,7 @@ def lake(spark: SparkSession, sf_dir: str) -> str:
         raw = order_sessions(spark, sf_dir)
         date = conform_column(F.col("date"), RAW["date"].dataType, GOLD["date"].dataType)
         write_zone(raw.select("*", *ymd(date)[:2]), f"{root}/bronze", by=MONTH)
-        needed = StructType([*restrict(RAW, GOLD).fields, PART_FIELD])
+        needed = StructType([*read_schema(RAW, GOLD).fields, PART_FIELD])
         stored = spark.read.schema(needed).parquet(f"{root}/bronze")
         gold = conform(stored, GOLD, keep=[PART, *MONTH])
         write_zone(gold, f"{root}/gold", by=MONTH)

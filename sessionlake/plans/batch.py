@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from sessionlake.contracts import DAY, GOLD, MARKER, PART, RAW, SILVER_TYPES, restrict
+from sessionlake.contracts import DAY, GOLD, MARKER, PART, RAW, SILVER_TYPES, read_schema
 from sessionlake.functions.dates import parse_date, with_ymd, ymd
 from sessionlake.functions.paths import staging_name_of, zone_path
 from sessionlake.operators.audit import audited
@@ -87,7 +87,7 @@ def refine(
     write_zone(made, paths["silver"])
     counts["silver"] = seen.get["rows"]
 
-    needed = StructType([*restrict(schema, GOLD).fields, *kept, *_ymd_fields()])
+    needed = StructType([*read_schema(schema, GOLD).fields, *kept, *_ymd_fields()])
     source_rows = result.zone(spark, "bronze", needed)
     golden = conform(source_rows, GOLD, keep=[f.name for f in kept] + DAY)
     hits = F.when(F.col("hits").isNull(), 0).otherwise(F.size("hits"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sessionlake.contracts import GOLD, PART, PART_FIELD, RAW, SESSION_KEY, SILVER_TYPES, record, restrict
+from sessionlake.contracts import GOLD, PART, PART_FIELD, RAW, SESSION_KEY, SILVER_TYPES, read_schema, record
 from sessionlake.functions.dates import date_group, day_of, epoch_seconds, parse_date, two_digits, ymd
 from sessionlake.functions.paths import (
     data_glob,
@@ -261,7 +261,7 @@ def conform_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def conform_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits and their nested page and transaction cast in place, without a shuffle."""
-    needed = StructType([*restrict(RAW, GOLD).fields, PART_FIELD])
+    needed = StructType([*read_schema(RAW, GOLD).fields, PART_FIELD])
     made = conform(bronze(spark, sf_dir, needed), GOLD).select(
         "visitId",
         F.when(F.col("hits").isNull(), 0).otherwise(F.size("hits")).alias("n"),

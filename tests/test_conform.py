@@ -6,8 +6,8 @@ import json
 
 from pyspark.sql import functions as F
 
-from sessionlake.contracts import GOLD, RAW, SESSION_KEY, SILVER_TYPES, record as record_type, restrict
-from sessionlake.operators.conform import cast_columns, conform, silver
+from sessionlake.contracts import GOLD, RAW, SESSION_KEY, SILVER_TYPES, read_schema, record as record_type
+from sessionlake.operators.conform import cast_columns, conform, same_shape, silver
 from sessionlake.operators.nested import (
     explode_hits, flatten, nest, pack, rejoin, renest, unpack, unwrap_list,
 )
@@ -34,8 +34,8 @@ def test_golden_record(spark, tmp_path, record):
     assert row.geoNetwork.city == "Istanbul"
     assert row.channelGrouping == "Organic Search"
     assert len(row.hits) == 1 and row.hits[0].page.pagePath == "/home"
-    assert row.hits[0].transaction is not None
-    assert set(row.hits[0].transaction.asDict().values()) == {None}
+    leaves = df.select(F.explode("hits").alias("h")).select("h.transaction.*").collect()[0]
+    assert len(leaves) == 6 and set(leaves) == {None}
 
 
 def test_contract_has_44_leaves():
@@ -100,12 +100,23 @@ def test_no_shuffle_and_no_generate_in_the_default_path(spark, tmp_path, record)
     assert "Exchange" not in plan and "Generate" not in plan
 
 
-def test_restrict_keeps_needed_leaves():
-    needed = restrict(RAW, GOLD)
-    assert "customDimensions" not in needed.fieldNames()
-    assert "medium" not in needed["trafficSource"].dataType.fieldNames()
-    hit = needed["hits"].dataType.elementType
-    assert "dataSource" not in hit.fieldNames() and "page" in hit.fieldNames()
+def test_read_schema_has_the_contract_shape():
+    needed = read_schema(RAW, GOLD)
+    assert needed.fieldNames() == GOLD.fieldNames()
+    assert needed["trafficSource"].dataType.fieldNames() == GOLD["trafficSource"].dataType.fieldNames()
+    assert same_shape(needed["hits"].dataType, GOLD["hits"].dataType)
+    assert not same_shape(RAW["hits"].dataType, GOLD["hits"].dataType)
+
+
+def test_cast_and_item_by_item_agree(spark, tmp_path, record):
+    bad = copy.deepcopy(record) | {"visitId": "2"}
+    bad["hits"][0] |= {"time": "soon", "transaction": {"transactionRevenue": "7"}, "page": None}
+    path = write(tmp_path, record, bad, copy.deepcopy(record) | {"visitId": "3", "hits": None})
+    shaped = conform(read_sessions(spark, path, read_schema(RAW, GOLD)), GOLD)
+    general = conform(read_sessions(spark, path), GOLD)
+    assert "transform" not in shaped._jdf.queryExecution().analyzed().toString()
+    assert "transform" in general._jdf.queryExecution().analyzed().toString()
+    assert shaped.exceptAll(general).isEmpty() and general.exceptAll(shaped).isEmpty()
 
 
 def test_corrupt_lines_are_kept(spark, tmp_path, record):
