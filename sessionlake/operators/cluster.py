@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import FeatureHasher, StandardScaler, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionlake.contracts import FEATURES
@@ -23,12 +23,16 @@ def features(
     """The flat ``body_*`` columns, one row per hit, of the days from ``start`` to ``end``.
 
     ``raw`` keeps its text date, and the filter works on that text, where it
-    can be pushed into the scan.
+    can be pushed into the scan. A zone by year and month, or by day, is also
+    pruned by these.
     """
-    if start is not None:
-        raw = raw.filter(F.col("date") >= start.strftime("%Y%m%d"))
-    if end is not None:
-        raw = raw.filter(F.col("date") <= end.strftime("%Y%m%d"))
+    for bound, inside in ((start, Column.__ge__), (end, Column.__le__)):
+        if bound is None:
+            continue
+        raw = raw.filter(inside(F.col("date"), F.lit(bound.strftime("%Y%m%d"))))
+        if {"year", "month"} <= set(raw.columns):
+            month = F.col("year") * 100 + F.col("month")
+            raw = raw.filter(inside(month, F.lit(bound.year * 100 + bound.month)))
     hits = explode_hits(raw, fields=HIT_FIELDS)
     return flatten(hits, prefix="body_").select(*columns)
 

@@ -83,12 +83,14 @@ def renest(
 
     One row per key and part. Keys with up to ``part_items`` items have part 0
     only. Bigger ones spread over several rows, so no task or row has to hold a
-    whole hot group.
+    whole hot group. The rows are shuffled as they are: collecting arrays
+    before the shuffle would sort them and save nothing.
     """
     if hot is None:
         hot = hot_keys(df, keys, part_items)
     return (
         with_part(df, hot, keys, spread_by)
+        .repartition(*keys, PART)
         .groupBy(*keys, PART)
         .agg(_ordered(item, order_by).alias(out))
     )

@@ -228,7 +228,7 @@ def lake(spark: SparkSession, sf_dir: str) -> str:
         needed = StructType([*read_schema(RAW, GOLD).fields, PART_FIELD])
         stored = spark.read.schema(needed).parquet(f"{root}/bronze")
         gold = conform(stored, GOLD, keep=[PART, *MONTH])
-        write_zone(gold, f"{root}/gold", by=MONTH)
+        write_zone(gold, f"{root}/gold", by=MONTH, gather=False)
         _lakes[key] = root
     return _lakes[key]
 

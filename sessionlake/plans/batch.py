@@ -58,7 +58,8 @@ def refine(
     Lines that are no JSON or have no date go to the rejected set. The files
     are parsed once, and again only if there is something to reject; silver
     and gold read the days just written to bronze, and of those only the
-    leaves of their contract. Counts are observed while writing.
+    leaves of their contract, without a shuffle. Counts are observed while
+    writing.
     """
     paths = {z: zone_path(lake, z, customer, entity) for z in ("bronze", "silver", "gold")}
     rejected = f"{lake.rstrip('/')}/rejected/{customer}/{entity}/{upload}"
@@ -84,7 +85,7 @@ def refine(
     stored = StructType([*schema.fields, *_ymd_fields()])
     full = result.zone(spark, "bronze", stored)
     made, seen = audited(with_ymd(silver(full.drop(*DAY), SILVER_TYPES)), "silver")
-    write_zone(made, paths["silver"])
+    write_zone(made, paths["silver"], gather=False)
     counts["silver"] = seen.get["rows"]
 
     needed = StructType([*read_schema(schema, GOLD).fields, *kept, *_ymd_fields()])
@@ -94,7 +95,7 @@ def refine(
     made, seen = audited(
         golden, "gold", F.sum(hits).alias("hits"), F.count_if(hits > 0).alias("with_hits")
     )
-    write_zone(made, paths["gold"])
+    write_zone(made, paths["gold"], gather=False)
     counts |= {"gold": seen.get["rows"], "hits": seen.get["hits"], "with_hits": seen.get["with_hits"]}
     return result
 

@@ -54,21 +54,24 @@ def stage(df: DataFrame, table: str) -> DataFrame:
     return df.sparkSession.table(table)
 
 
-def publish(staged: DataFrame, table: str, partition: str = "date") -> None:
+def publish(staged: DataFrame, table: str, partition: str = "date", gather: bool = False) -> None:
     """Move staged rows into the final table, columns matched by name.
 
     Replaces the days that are staged and leaves the others alone, so
-    publishing an upload twice leaves one copy of it.
+    publishing an upload twice leaves one copy of it. Rows staged from a zone
+    by day are not shuffled again; ``gather`` does so for other sources.
     """
     spark = staged.sparkSession
-    columns = spark.table(table).columns
+    rows = staged.select(*spark.table(table).columns)
+    if gather:
+        rows = rows.hint("rebalance", partition)
     with dynamic_overwrite(spark):
-        staged.select(*columns).hint("rebalance", partition).write.insertInto(table, overwrite=True)
+        rows.write.insertInto(table, overwrite=True)
 
 
 def load_parquet(spark: SparkSession, path: str, table: str) -> None:
-    """Load Parquet files into the final table."""
-    publish(spark.read.parquet(path), table)
+    """Load Parquet files of any layout into the final table."""
+    publish(spark.read.parquet(path), table, gather=True)
 
 
 def unstage(spark: SparkSession, table: str) -> None:

@@ -12,16 +12,19 @@ from sessionlake.contracts import DAY
 
 
 def write_zone(
-    df: DataFrame, path: str, by: list[str] = DAY, max_records_per_file: int = 0
+    df: DataFrame, path: str, by: list[str] = DAY, gather: bool = True, max_records_per_file: int = 0
 ) -> None:
     """Write partitions and replace those of an earlier run, so a re-run changes nothing.
 
-    The rebalance brings the rows of a partition together, so a day gets few
-    files, and lets adaptive execution cut a day that is too big for one task.
+    ``gather`` brings the rows of a partition together, so a day gets few files,
+    and lets adaptive execution cut a day that is too big for one task. Rows
+    that come from a zone of the same layout are gathered already; without it
+    they are written where they are, and nothing is shuffled.
     """
+    if gather:
+        df = df.hint("rebalance", *by)
     (
-        df.hint("rebalance", *by)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*by)
@@ -29,6 +32,16 @@ def write_zone(
     )
 
 
+def between(df: DataFrame, start: dt.date | None, end: dt.date | None) -> DataFrame:
+    """The days from ``start`` to ``end``, by partition columns only, so that others are not read."""
+    day = F.col("year") * 10000 + F.col("month") * 100 + F.col("day")
+    if start is not None:
+        df = df.filter(day >= int(start.strftime("%Y%m%d")))
+    if end is not None:
+        df = df.filter(day <= int(end.strftime("%Y%m%d")))
+    return df
+
+
 def read_zone(
     spark: SparkSession,
     path: str,
@@ -36,19 +49,9 @@ def read_zone(
     end: dt.date | None = None,
     schema: StructType | None = None,
 ) -> DataFrame:
-    """The days from ``start`` to ``end``; other partitions are not read.
-
-    With ``schema`` only its columns and nested leaves are read.
-    """
+    """The days from ``start`` to ``end``; with ``schema`` only its columns and leaves are read."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    df = reader.parquet(path)
-    # the day number of a partition, comparable and made of partition columns only
-    day = F.col("year") * 10000 + F.col("month") * 100 + F.col("day")
-    if start is not None:
-        df = df.filter(day >= int(start.strftime("%Y%m%d")))
-    if end is not None:
-        df = df.filter(day <= int(end.strftime("%Y%m%d")))
-    return df
+    return between(reader.parquet(path), start, end)
 
 
 def read_day(spark: SparkSession, path: str, day: dt.date) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from sessionlake.operators.cdc import latest, route, split_valid
+from sessionlake.sources.zones import write_zone
 from sessionlake.workspace import exists, materialize
 
 # File reads at a time and minutes between merges.
@@ -75,12 +76,8 @@ class Replica:
         staged = f"{self.path}/staged/batch_{batch_id}"
         if not exists(self.spark, f"{staged}/_SUCCESS"):
             self._stage(changes, staged)
-        (
-            self.spark.read.schema(self.schema).parquet(staged)
-            .hint("rebalance", "_bucket")
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("_bucket").parquet(self.state)
-        )
+        merged = self.spark.read.schema(self.schema).parquet(staged)
+        write_zone(merged, self.state, by=["_bucket"], gather=False)
 
     def _stage(self, changes: DataFrame, staged: str) -> None:
         bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int").alias("_bucket")
@@ -91,7 +88,8 @@ class Replica:
         stored = self._stored().filter(F.col("_bucket").isin(touched))
         merged = latest(stored.unionByName(last), self.keys)
         columns = self.schema.fieldNames()
-        merged.select(*columns).write.mode("overwrite").partitionBy("_bucket").parquet(staged)
+        rows = merged.select(*columns).hint("rebalance", "_bucket")
+        rows.write.mode("overwrite").partitionBy("_bucket").parquet(staged)
 
 
 def start_merge(
