@@ -63,16 +63,17 @@ def with_backfill(snapshot: DataFrame, changes: DataFrame, table: str | None = N
     return first.unionByName(changes, allowMissingColumns=True)
 
 
-def split_valid(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """Rows that pass all rules, and the others with the names of the broken rules.
+def with_reasons(df: DataFrame, rules: Mapping[str, Column], out: str = "_reasons") -> DataFrame:
+    """Add the names of the rules a row breaks; a rule that is NULL counts as broken."""
+    broken = [
+        F.when(F.coalesce(ok, F.lit(False)), None).otherwise(F.lit(name)) for name, ok in rules.items()
+    ]
+    return df.withColumn(out, F.array_compact(F.array(*broken)))
 
-    A rule that is NULL for a row counts as broken.
-    """
-    reasons = F.filter(
-        F.array(*[F.when(F.coalesce(ok, F.lit(False)), None).otherwise(F.lit(n)) for n, ok in rules.items()]),
-        lambda r: r.isNotNull(),
-    )
-    checked = df.withColumn("_reasons", reasons)
+
+def split_valid(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """Rows that pass all rules, and the others with the names of the broken rules."""
+    checked = with_reasons(df, rules)
     valid = checked.filter(F.size("_reasons") == 0).drop("_reasons")
     return valid, checked.filter(F.size("_reasons") > 0)
 

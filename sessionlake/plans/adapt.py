@@ -18,7 +18,7 @@ from sessionlake.operators.conform import conform, conform_column
 from sessionlake.operators.nested import nest
 from sessionlake.operators.skew import PART_ITEMS
 from sessionlake.sources.zones import write_zone
-from sessionlake.workspace import scratch
+from sessionlake.workspace import fingerprint, scratch
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -210,16 +210,20 @@ def event_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_lakes: dict[tuple[str, str], str] = {}
+LAKE_TABLES = ["orders", "lineitem", "customer", "nation", "region"]
+
+_lakes: dict[tuple[str, ...], str] = {}
 
 
 def lake(spark: SparkSession, sf_dir: str) -> str:
     """Folder with the order sessions as a bronze and a gold zone, by month.
 
-    Built on first use and kept for the application, as a lake would be:
-    queries read the written zones and not the tables behind them.
+    Built on first use and kept for the application while the tables stay the
+    same, as a lake would be: queries read the written zones and not the tables
+    behind them.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    marks = [fingerprint(spark, f"{sf_dir}/{t}.parquet") for t in LAKE_TABLES]
+    key = (spark.sparkContext.applicationId, sf_dir, *marks)
     if key not in _lakes:
         root = scratch(spark, "lake")
         raw = order_sessions(spark, sf_dir)

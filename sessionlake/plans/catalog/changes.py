@@ -14,6 +14,7 @@ from sessionlake.operators.cdc import (
     since,
     split_valid,
     with_backfill,
+    with_reasons,
 )
 from sessionlake.plans.adapt import cents, event_changes, table
 from sessionlake.plans.catalog.registry import query
@@ -178,15 +179,37 @@ def cdc_since(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cdc_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes that break a rule are set aside with its name."""
     k = F.get_json_object("props", "$.k").try_cast("bigint")
-    valid, rejected = split_valid(event_changes(spark, sf_dir), {"k": k < 90})
-    both = valid.withColumn("outcome", F.lit("valid")).unionByName(
-        rejected.withColumn("outcome", F.concat_ws(",", "_reasons")).drop("_reasons")
-    )
-    return both.groupBy("outcome", F.col("_metadata_table").alias("tbl")).agg(
+    checked = with_reasons(event_changes(spark, sf_dir), {"k": k < 90})
+    outcome = F.when(F.size("_reasons") == 0, "valid").otherwise(F.concat_ws(",", "_reasons"))
+    return checked.groupBy(outcome.alias("outcome"), F.col("_metadata_table").alias("tbl")).agg(
         F.count(F.lit(1)).alias("n")
     )
 
 
+@query(
+    "cdc_split",
+    f"""
+    SELECT user_id, seq, 'valid' AS outcome FROM ({CHANGES}) WHERE op <> 'DELETE' AND cents < 5000
+    UNION ALL
+    SELECT user_id, seq, concat_ws(',', CASE WHEN op = 'DELETE' THEN 'op' END,
+                                        CASE WHEN cents >= 5000 THEN 'value' END)
+    FROM ({CHANGES}) WHERE op = 'DELETE' OR cents >= 5000
+    """,
+)
+def cdc_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid changes and dead letters written apart and read back."""
+    path = scratch(spark, "split")
+    rules = {"op": F.col("_op") != "DELETE", "value": cents(F.col("value")) < 5000}
+    valid, rejected = split_valid(event_changes(spark, sf_dir), rules)
+    valid.write.parquet(f"{path}/valid")
+    rejected.write.json(f"{path}/dead")
+    letters = spark.read.schema(rejected.schema).json(f"{path}/dead")
+    columns = ["user_id", F.col("_seq").alias("seq")]
+    return spark.read.parquet(f"{path}/valid").select(*columns, F.lit("valid").alias("outcome")).union(
+        letters.select(*columns, F.concat_ws(",", "_reasons").alias("outcome"))
+    )
+
+
 @query(
     "cdc_high_watermark",
     f"SELECT tbl, max(seq) AS high_watermark FROM ({CHANGES}) GROUP BY 1",

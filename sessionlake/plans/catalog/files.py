@@ -45,10 +45,12 @@ def scan_ndjson(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = F.when(F.col("hits").isNull(), 0).otherwise(F.size("hits"))
     return (
         read_sessions(spark, path)
-        .groupBy(F.col("visitId").cast("bigint").alias("visit_id"))
+        .groupBy(
+            F.col("visitId").cast("bigint").alias("visit_id"),
+            F.col("date").alias("date_text"),
+            F.col("geoNetwork.country").alias("country"),
+        )
         .agg(
-            F.max("date").alias("date_text"),
-            F.max("geoNetwork.country").alias("country"),
             F.sum(hits).alias("n_hits"),
             F.count_if(F.col(CORRUPT).isNotNull()).cast("int").alias("corrupt"),
         )

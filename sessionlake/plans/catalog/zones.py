@@ -18,18 +18,18 @@ from sessionlake.sources.files import export_ndjson
 from sessionlake.sources.uploads import has_partition, next_date, pending_dates, ready_uploads
 from sessionlake.sources.warehouse import create_database, create_table, load_parquet
 from sessionlake.streaming.uploads import notification_stream, ready_stream, start_ready_log
-from sessionlake.workspace import scratch
+from sessionlake.workspace import fingerprint, scratch
 
 RAW_PARTS = StructType([*RAW.fields, PART_FIELD])
 FINAL = StructType([*GOLD.fields, PART_FIELD])
 UPLOAD = "customer01/events/2024-01-31/end_file.txt"
 
-_refined: dict[tuple[str, str], Refined] = {}
+_refined: dict[tuple[str, ...], Refined] = {}
 
 
 def refined(spark: SparkSession, sf_dir: str) -> Refined:
     """The event sessions as an upload of NDJSON files, refined into the zones once."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, fingerprint(spark, f"{sf_dir}/events.parquet"))
     if key not in _refined:
         root = scratch(spark, "events")
         folder = f"{root}/ingestion/{UPLOAD.rpartition('/')[0]}"
@@ -54,17 +54,17 @@ EVENT_SESSIONS = """
     "bronze_roundtrip",
     f"""
     SELECT year(d) AS "year", month(d) AS "month", day(d) AS "day", count(*) AS sessions,
-           CAST(sum(n_hits) AS BIGINT) AS hits, min(strftime(d, '%Y%m%d')) AS date_text
-    FROM ({EVENT_SESSIONS}) GROUP BY 1, 2, 3
+           CAST(sum(n_hits) AS BIGINT) AS hits, strftime(d, '%Y%m%d') AS date_text
+    FROM ({EVENT_SESSIONS}) GROUP BY d
     """,
 )
 def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw columns as they came, by day."""
     zone = refined(spark, sf_dir).zone(spark, "bronze")
-    return zone.groupBy(*[F.col(c).cast("bigint").alias(c) for c in ("year", "month", "day")]).agg(
+    days = [F.col(c).cast("bigint").alias(c) for c in ("year", "month", "day")]
+    return zone.groupBy(*days, F.col("date").alias("date_text")).agg(
         F.count_if(F.col(PART) == 0).alias("sessions"),
         F.sum(F.size("hits.hitNumber")).cast("bigint").alias("hits"),
-        F.min("date").alias("date_text"),
     )
 
 

@@ -42,7 +42,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """True if a file or folder is there, on any file system Spark can reach."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def fingerprint(spark: SparkSession, path: str) -> str:
+    """Size and time of a file or folder; changes when it is written anew."""
+    fs, p = _file_system(spark, path)
+    return f"{fs.getContentSummary(p).getLength()}-{fs.getFileStatus(p).getModificationTime()}"
