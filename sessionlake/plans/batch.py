@@ -6,7 +6,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -38,10 +38,9 @@ class Refined:
         return read_zone(spark, getattr(self, name), self.first, self.last, schema)
 
 
-def _sessions(df: DataFrame):
+def _sessions(df: DataFrame) -> Column:
     """Number of sessions; further parts of a session do not count."""
-    one = F.col(PART) == 0 if PART in df.columns else F.lit(True)
-    return F.count_if(one).alias("sessions")
+    return F.count_if(F.col(PART) == 0 if PART in df.columns else F.lit(True))
 
 
 def refine(
@@ -67,36 +66,39 @@ def refine(
     raw, read = audited(read_sessions(spark, source, schema), "read")
     rules = {"json": F.col(CORRUPT).isNull(), "date": day.isNotNull()}
     valid, bad = split_valid(raw, rules)
-    bronze, seen = audited(
-        valid.drop(CORRUPT).select("*", *ymd(day)), "bronze",
-        F.min(day).alias("first"), F.max(day).alias("last"), _sessions(raw),
+    rows = valid.drop(CORRUPT).select("*", *ymd(day))
+    seen = write_zone(
+        rows, paths["bronze"],
+        metrics={"first": F.min(day), "last": F.max(day), "sessions": _sessions(rows)},
     )
-    write_zone(bronze, paths["bronze"])
-    first, last = seen.get["first"], seen.get["last"]
-    counts = {n: seen.get[m] for n, m in (("bronze", "rows"), ("sessions", "sessions"))}
-    counts["rejected"] = read.get["rows"] - counts["bronze"]
-    if counts["rejected"]:
-        bad.write.mode("overwrite").json(rejected)
-    result = Refined(**paths, rejected=rejected, first=first, last=last, counts=counts)
-    if first is None:
+    counts = {"bronze": seen["rows"], "sessions": seen["sessions"], "rejected": 0}
+    # the rows read are never counted too low, so nothing is missed here
+    if read.get["rows"] > seen["rows"]:
+        letters, refused = audited(bad, "rejected")
+        letters.write.mode("overwrite").json(rejected)
+        counts["rejected"] = refused.get["rows"]
+    result = Refined(
+        **paths, rejected=rejected, first=seen["first"], last=seen["last"], counts=counts
+    )
+    if result.first is None:
         return result
 
     kept = [f for f in schema.fields if f.name == PART]
     stored = StructType([*schema.fields, *_ymd_fields()])
     full = result.zone(spark, "bronze", stored)
-    made, seen = audited(with_ymd(silver(full.drop(*DAY), SILVER_TYPES)), "silver")
-    write_zone(made, paths["silver"], gather=False)
-    counts["silver"] = seen.get["rows"]
+    made = with_ymd(silver(full.drop(*DAY), SILVER_TYPES))
+    counts["silver"] = write_zone(made, paths["silver"], gather=False)["rows"]
 
     needed = StructType([*read_schema(schema, GOLD).fields, *kept, *_ymd_fields()])
-    source_rows = result.zone(spark, "bronze", needed)
-    golden = conform(source_rows, GOLD, keep=[f.name for f in kept] + DAY)
+    made = conform(
+        result.zone(spark, "bronze", needed), GOLD, keep=[f.name for f in kept] + DAY
+    )
     hits = F.when(F.col("hits").isNull(), 0).otherwise(F.size("hits"))
-    made, seen = audited(
-        golden, "gold", F.sum(hits).alias("hits"), F.count_if(hits > 0).alias("with_hits")
+    seen = write_zone(
+        made, paths["gold"], gather=False,
+        metrics={"hits": F.sum(hits), "with_hits": F.count_if(hits > 0)},
     )
-    write_zone(made, paths["gold"], gather=False)
-    counts |= {"gold": seen.get["rows"], "hits": seen.get["hits"], "with_hits": seen.get["with_hits"]}
+    counts |= {"gold": seen["rows"], "hits": seen["hits"], "with_hits": seen["with_hits"]}
     return result
 
 

@@ -4,25 +4,35 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sessionlake.contracts import DAY
+from sessionlake.operators.audit import audited
 
 
 def write_zone(
-    df: DataFrame, path: str, by: list[str] = DAY, gather: bool = True, max_records_per_file: int = 0
-) -> None:
+    df: DataFrame,
+    path: str,
+    by: list[str] = DAY,
+    gather: bool = True,
+    metrics: dict[str, Column] | None = None,
+    max_records_per_file: int = 0,
+) -> dict[str, object]:
     """Write partitions and replace those of an earlier run, so a re-run changes nothing.
 
     ``gather`` brings the rows of a partition together, so a day gets few files,
     and lets adaptive execution cut a day that is too big for one task. Rows
     that come from a zone of the same layout are gathered already; without it
     they are written where they are, and nothing is shuffled.
+
+    ``metrics`` are aggregates taken while writing and returned. They are taken
+    after the shuffle: there a task that is repeated counts once.
     """
     if gather:
         df = df.hint("rebalance", *by)
+    df, seen = audited(df, f"write {path}", **(metrics or {}))
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -30,6 +40,7 @@ def write_zone(
         .partitionBy(*by)
         .parquet(path)
     )
+    return seen.get
 
 
 def between(df: DataFrame, start: dt.date | None, end: dt.date | None) -> DataFrame:

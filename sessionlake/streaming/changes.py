@@ -11,7 +11,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from sessionlake.operators.cdc import latest, route, split_valid
 from sessionlake.sources.zones import write_zone
-from sessionlake.workspace import exists, materialize
+from sessionlake.workspace import exists, remove
 
 # File reads at a time and minutes between merges.
 FILES_PER_TRIGGER = 30
@@ -74,22 +74,24 @@ class Replica:
         """Apply one batch. The result is staged first, and a repeated batch
         continues from the staged copy, so a swap that broke off loses nothing."""
         staged = f"{self.path}/staged/batch_{batch_id}"
-        if not exists(self.spark, f"{staged}/_SUCCESS"):
+        if not exists(self.spark, f"{staged}/rows/_SUCCESS"):
             self._stage(changes, staged)
-        merged = self.spark.read.schema(self.schema).parquet(staged)
+        merged = self.spark.read.schema(self.schema).parquet(f"{staged}/rows")
         write_zone(merged, self.state, by=["_bucket"], gather=False)
+        # batches run one after the other: the one before is done for good
+        remove(self.spark, f"{self.path}/staged/batch_{batch_id - 1}")
 
     def _stage(self, changes: DataFrame, staged: str) -> None:
         bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int").alias("_bucket")
-        last = latest(changes.select(*self.columns), self.keys)
-        last = materialize(last.select(*self.columns, bucket), "changes")
+        last = latest(changes.select(*self.columns), self.keys).select(*self.columns, bucket)
+        last.write.mode("overwrite").parquet(f"{staged}/changes")
+        last = self.spark.read.schema(self.schema).parquet(f"{staged}/changes")
         # at most one number per bucket
         touched = [r._bucket for r in last.select("_bucket").distinct().collect()]
         stored = self._stored().filter(F.col("_bucket").isin(touched))
-        merged = latest(stored.unionByName(last), self.keys)
-        columns = self.schema.fieldNames()
-        rows = merged.select(*columns).hint("rebalance", "_bucket")
-        rows.write.mode("overwrite").partitionBy("_bucket").parquet(staged)
+        merged = latest(stored.unionByName(last), self.keys).select(*self.schema.fieldNames())
+        rows = merged.hint("rebalance", "_bucket")
+        rows.write.mode("overwrite").partitionBy("_bucket").parquet(f"{staged}/rows")
 
 
 def start_merge(

@@ -53,6 +53,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that the caller wrote; nothing happens if it is not there."""
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
 def fingerprint(spark: SparkSession, path: str) -> str:
     """Size and time of a file or folder; changes when it is written anew."""
     fs, p = _file_system(spark, path)

@@ -2,12 +2,13 @@ from __future__ import annotations
 
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from sessionlake.contracts import FEATURES, RAW
 from sessionlake.operators.audit import audited, peek, row_count
-from sessionlake.operators.cluster import cluster_sessions, features
+from sessionlake.operators.cluster import cluster_sessions, features, fit_clusters, prepare
 from sessionlake.operators.conform import conform
 from sessionlake.operators.text import word_count
 from sessionlake.plans.batch import assign_clusters, model_sessions
@@ -19,7 +20,7 @@ def test_word_count(spark):
 
 
 def test_audit_counts_while_writing(spark, tmp_path):
-    df, seen = audited(spark.range(7), "step", F.max("id").alias("top"))
+    df, seen = audited(spark.range(7), "step", top=F.max("id"))
     df.write.parquet(str(tmp_path / "p"))
     assert seen.get == {"rows": 7, "top": 6}
     assert row_count(spark.range(5)).collect()[0].n_rows == 5
@@ -57,3 +58,19 @@ def test_clusters_are_reproducible_and_cover_every_row(spark, raw, tmp_path):
     model = model_sessions(raw, str(tmp_path / "features"), k=2)
     assigned = assign_clusters(model, spark.read.parquet(str(tmp_path / "features")))
     assert {r.cluster for r in assigned.collect()} <= {0, 1} and assigned.count() == 40
+
+
+def test_rows_go_to_the_nearest_centre(spark, raw):
+    """Brute force over the fitted features."""
+    rows = features(raw)
+    model = fit_clusters(rows, k=3, seed=5, hash_size=64)
+    got = model.transform(prepare(rows)).select("features", "cluster").collect()
+    centres = np.array(model.stages[-1].clusterCenters())
+    for r in got:
+        distance = ((centres - r.features.toArray()) ** 2).sum(axis=1)
+        assert distance[r.cluster] == pytest.approx(distance.min())
+    members = {}
+    for r in got:
+        members.setdefault(r.cluster, []).append(r.features.toArray())
+    for cluster, points in members.items():
+        assert np.mean(points, axis=0) == pytest.approx(centres[cluster], abs=1e-6)
