@@ -11,7 +11,7 @@ from sessionlake.contracts import PART
 from sessionlake.workspace import materialize
 
 # Items one row's array should hold. Groups beyond it go on in further parts.
-PART_ITEMS = 100_000
+PART_ITEMS = 20_000
 
 
 def hot_keys(df: DataFrame, keys: list[str], part_items: int = PART_ITEMS) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import sys
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -18,7 +19,7 @@ from sessionlake.operators.cdc import split_valid
 from sessionlake.operators.cluster import features, fit_clusters, prepare
 from sessionlake.operators.conform import conform, silver
 from sessionlake.sources.files import CORRUPT, read_sessions
-from sessionlake.sources.warehouse import publish, stage, unstage
+from sessionlake.sources.warehouse import create_table, publish, stage, unstage
 from sessionlake.sources.zones import read_zone, write_zone
 
 @dataclass(frozen=True)
@@ -146,3 +147,16 @@ def model_sessions(
 
 def assign_clusters(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return model.transform(prepare(rows)).select(*rows.columns, "cluster")
+
+
+def main(argv: list[str]) -> None:
+    """Job form of ``run_upload``; creates the final table on the first run."""
+    ingestion, lake, marker, database, table = argv
+    spark = SparkSession.builder.appName("session upload").getOrCreate()
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    create_table(spark, f"`{database}`.`{table}`", GOLD, "date", "Sessions by day")
+    print(run_upload(spark, ingestion, lake, marker, database, table).counts)
+
+
+if __name__ == "__main__":
+    main(sys.argv[1:])

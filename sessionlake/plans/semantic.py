@@ -123,11 +123,21 @@ def explore(
     )
 
 
-def count(sessions: DataFrame, by: list[str], filters: Mapping[str, object] | None = None) -> DataFrame:
-    """The measure ``count``: sessions, or distinct visitors once hits fan the rows out."""
+def count(
+    sessions: DataFrame,
+    by: list[str],
+    filters: Mapping[str, object] | None = None,
+    approximate: bool = False,
+) -> DataFrame:
+    """The measure ``count``: sessions, or distinct visitors once hits fan the rows out.
+
+    ``approximate`` estimates the distinct visitors from one sketch per group,
+    which saves the shuffle of all visitors.
+    """
     if any(is_hit_level(r) for r in (*by, *(filters or {}))):
         rows = explore(sessions, by, filters, {"_visitor": F.col(PRIMARY_KEY)})
-        measure = F.count_distinct("_visitor")
+        distinct = F.approx_count_distinct if approximate else F.count_distinct
+        measure = distinct("_visitor")
     else:
         rows = explore(sessions, by, filters)
         measure = F.count(F.lit(1))

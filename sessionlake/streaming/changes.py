@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from sessionlake.operators.cdc import latest, route, split_valid
+from sessionlake.operators.cdc import latest, route, split_valid, with_backfill
 from sessionlake.sources.zones import write_zone
 from sessionlake.workspace import exists, remove
 
@@ -70,6 +70,11 @@ class Replica:
         alive = self._stored().filter(~F.col("_op").eqNullSafe("DELETE"))
         return alive.select(*[c for c in self.columns if not c.startswith("_")])
 
+    def backfill(self, snapshot: DataFrame, table: str) -> None:
+        """Load a full copy of the source before the first batch of changes."""
+        none = self.spark.createDataFrame([], StructType(self.schema.fields[:-1]))
+        self.merge(with_backfill(snapshot, none, table), -1)
+
     def merge(self, changes: DataFrame, batch_id: int) -> None:
         """Apply one batch. The result is staged first, and a repeated batch
         continues from the staged copy, so a swap that broke off loses nothing."""

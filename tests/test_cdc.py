@@ -171,3 +171,16 @@ def test_hot_key_in_a_batch(spark, tmp_path, hot):
     )
     replica.merge(df, 0)
     assert pairs(replica.rows()) == [(7, str(hot - 1))]
+
+
+def test_backfill_then_stream(spark, tmp_path):
+    replica = Replica(spark, str(tmp_path / "replica"), SCHEMA, ["id"], buckets=4)
+    snapshot = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id long, name string")
+    replica.backfill(snapshot, "emp")
+    assert pairs(replica.rows()) == [(1, "a"), (2, "b"), (3, "c")]
+    write_file(tmp_path / "in", "f1.json", ("UPDATE", 1, 1, 1, "A"), ("DELETE", 1, 2, 2, None))
+    run_merge(spark, tmp_path, replica)
+    assert pairs(replica.rows()) == [(1, "A"), (3, "c")]
+    # a repeated load of the snapshot is older than the changes
+    replica.merge(with_backfill(snapshot, changes(spark), "emp"), 7)
+    assert pairs(replica.rows()) == [(1, "A"), (3, "c")]

@@ -1,0 +1,68 @@
+"""The SQL forms of the publish step give the rows of the default path."""
+
+from __future__ import annotations
+
+import copy
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from sessionlake.contracts import GOLD, RAW, SESSION_KEY, read_schema
+from sessionlake.operators.conform import conform
+from sessionlake.operators.nested import rejoin
+from sessionlake.plans.batch import main
+from sessionlake.sources.files import read_sessions
+
+ROOT = [f.name for f in GOLD.fields if f.name not in (*SESSION_KEY, "hits")]
+KEYS = ", ".join(SESSION_KEY)
+NESTED = f"""
+    SELECT {", ".join(f"s.{f.name}" for f in GOLD.fields if f.name != "hits")}, n.hits
+    FROM (SELECT {KEYS}, sort_array(collect_list(hit)) AS hits
+          FROM staged LATERAL VIEW explode(hits) AS hit GROUP BY {KEYS}) n
+    JOIN staged s USING ({KEYS})
+"""
+WITH = f"""
+    WITH hit_rows AS (SELECT {KEYS}, hit FROM staged LATERAL VIEW explode(hits) AS hit),
+         nested AS (SELECT {KEYS}, sort_array(collect_list(hit)) AS hits FROM hit_rows GROUP BY {KEYS})
+    SELECT {", ".join(f"s.{f.name}" for f in GOLD.fields if f.name != "hits")}, nested.hits
+    FROM nested JOIN staged s USING ({KEYS})
+"""
+
+
+@pytest.fixture
+def staged(spark, tmp_path, record):
+    sessions = []
+    for i in range(20):
+        one = copy.deepcopy(record) | {"visitId": str(i)}
+        one["hits"] = [record["hits"][0] | {"hitNumber": str(n), "time": str(n * 10)} for n in range(i % 4)]
+        sessions.append(json.dumps(one))
+    (tmp_path / "data.json").write_text("\n".join(sessions))
+    df = conform(read_sessions(spark, str(tmp_path), read_schema(RAW, GOLD)), GOLD)
+    df.createOrReplaceTempView("staged")
+    return df
+
+
+def same(a, b):
+    columns = [f.name for f in GOLD.fields]
+    a, b = a.select(*columns), b.select(*columns)
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_forms_agree(spark, staged):
+    default = staged.filter(F.size("hits") > 0)
+    assert default.count() == 15
+    assert same(spark.sql(NESTED), default)
+    assert same(spark.sql(WITH), default)
+    assert same(rejoin(staged.withColumn("_row", F.col("visitId")), ["_row"]), default)
+
+
+def test_job_form(spark, tmp_path, record):
+    folder = tmp_path / "in" / "customer01" / "sessions" / "2017-06-01"
+    folder.mkdir(parents=True)
+    (folder / "data_0.json").write_text(json.dumps(record) + "\n")
+    database = "job_" + tmp_path.name.replace("-", "_")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{tmp_path / 'wh'}'")
+    main([str(tmp_path / "in"), str(tmp_path / "lake"), "customer01/sessions/2017-06-01/end_file.txt", database, "s"])
+    assert spark.table(f"{database}.s").count() == 1
+    spark.sql(f"DROP DATABASE {database} CASCADE")

@@ -70,6 +70,10 @@ def test_count_is_distinct_visitors_once_hits_fan_out(sessions):
     assert values(count(sessions, ["hits.type"])) == [("EVENT", 2), ("PAGE", 2), (None, 1)]
 
 
+def test_approximate_visitors(sessions):
+    assert values(count(sessions, ["hits.type"], approximate=True)) == values(count(sessions, ["hits.type"]))
+
+
 def test_sum_is_not_inflated_by_hits(sessions):
     assert values(total_sessions(sessions, ["geo_network.city"])) == [("A", 2), ("B", 4)]
     assert values(total_sessions(sessions, ["hits.type"])) == [("EVENT", 2), ("PAGE", 4), (None, 2)]
