@@ -40,7 +40,8 @@ def staged(spark, tmp_path, record):
     (tmp_path / "data.json").write_text("\n".join(sessions))
     df = conform(read_sessions(spark, str(tmp_path), read_schema(RAW, GOLD)), GOLD)
     df.createOrReplaceTempView("staged")
-    return df
+    yield df
+    spark.catalog.dropTempView("staged")
 
 
 def same(a, b):
