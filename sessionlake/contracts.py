@@ -222,3 +222,8 @@ def read_schema(have: StructType, contract: StructType) -> StructType:
     return StructType(
         [StructField(f.name, shaped(types.get(f.name), f.dataType)) for f in contract.fields]
     )
+
+
+def meets(schema: StructType, contract: StructType) -> bool:
+    """True if the columns are the contract's in name, order and type, nullability aside."""
+    return schema.simpleString() == contract.simpleString()

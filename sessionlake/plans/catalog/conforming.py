@@ -88,7 +88,7 @@ def scalar_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS parsed,
            CAST(NULL AS VARCHAR) AS bad, CAST(epoch(o_orderdate) AS BIGINT) AS seconds,
            CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS load_day,
-           CAST(CAST(o_orderdate AS DATE) + INTERVAL 1 DAY AS DATE)::VARCHAR AS next_day
+           CAST(CAST(CAST(o_orderdate AS DATE) + INTERVAL 1 DAY AS DATE) AS VARCHAR) AS next_day
     FROM orders
     """,
 )
@@ -107,7 +107,8 @@ def scalar_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "date_dimensions",
     """
-    SELECT o_orderkey, CAST(d AS VARCHAR) AS date_date, CAST(CAST(date_trunc('week', d) AS DATE) AS VARCHAR) AS date_week,
+    SELECT o_orderkey, CAST(d AS VARCHAR) AS date_date,
+           CAST(CAST(date_trunc('week', d) AS DATE) AS VARCHAR) AS date_week,
            strftime(d, '%Y-%m') AS date_month, monthname(d) AS date_month_name,
            year(d) || '-Q' || quarter(d) AS date_quarter, year(d) AS date_year
     FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders)
@@ -441,8 +442,3 @@ def unnest_cross(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("unnest_left", UNNESTED.format(join="LEFT JOIN"))
 def unnest_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unnested(spark, sf_dir, outer=True)
-
-
-def contract_is(df: DataFrame, contract: StructType) -> bool:
-    """True if the columns are the contract's, nullability aside."""
-    return df.schema.simpleString() == contract.simpleString()

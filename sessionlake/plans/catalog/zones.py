@@ -27,15 +27,20 @@ UPLOAD = "customer01/events/2024-01-31/end_file.txt"
 _refined: dict[tuple[str, ...], Refined] = {}
 
 
+def refine_events(spark: SparkSession, sf_dir: str) -> Refined:
+    """The event sessions as an upload of NDJSON files, refined into new zones."""
+    root = scratch(spark, "events")
+    folder = f"{root}/ingestion/{UPLOAD.rpartition('/')[0]}"
+    export_ndjson(event_sessions(spark, sf_dir), folder, gzip=True)
+    customer, entity, upload = UPLOAD.split("/")[:3]
+    return refine(spark, folder, f"{root}/lake", customer, entity, upload, RAW_PARTS)
+
+
 def refined(spark: SparkSession, sf_dir: str) -> Refined:
-    """The event sessions as an upload of NDJSON files, refined into the zones once."""
+    """The zones of the event sessions, written once while the events stay the same."""
     key = (spark.sparkContext.applicationId, sf_dir, fingerprint(spark, f"{sf_dir}/events.parquet"))
     if key not in _refined:
-        root = scratch(spark, "events")
-        folder = f"{root}/ingestion/{UPLOAD.rpartition('/')[0]}"
-        export_ndjson(event_sessions(spark, sf_dir), folder, gzip=True)
-        customer, entity, upload = UPLOAD.split("/")[:3]
-        _refined[key] = refine(spark, folder, f"{root}/lake", customer, entity, upload, RAW_PARTS)
+        _refined[key] = refine_events(spark, sf_dir)
     return _refined[key]
 
 
@@ -125,7 +130,7 @@ def gold_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def zone_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of the steps of the batch flow, as observed while it ran."""
-    counts = refined(spark, sf_dir).counts
+    counts = refine_events(spark, sf_dir).counts
     return spark.createDataFrame(list(counts.items()), "step string, n_rows bigint")
 
 

@@ -32,7 +32,11 @@ def ready_stream(notifications: DataFrame) -> DataFrame:
 
 
 def marker_stream(spark: SparkSession, root: str, max_files: int = 30) -> DataFrame:
-    """The end markers below an ingestion folder, at most ``max_files`` per trigger."""
+    """The end markers below an ingestion folder, at most ``max_files`` per trigger.
+
+    Lists the folder at every trigger. Where the store sends notifications,
+    ``notification_stream`` reads those instead.
+    """
     return (
         spark.readStream.schema("value string")
         .option("pathGlobFilter", f"*{MARKER}")

@@ -62,7 +62,8 @@ def test_totals_hold_all_hits(gold, skewed):
         F.max("totals.hits").alias("n"), F.sum(total("hits.transaction.transactionRevenue")).alias("r")
     )
     want = sql(skewed, """
-        SELECT o_orderkey, count(l_orderkey), CAST(coalesce(sum(CAST(round(l_extendedprice * 100) AS BIGINT)), 0) AS BIGINT)
+        SELECT o_orderkey, count(l_orderkey),
+               CAST(coalesce(sum(CAST(round(l_extendedprice * 100) AS BIGINT)), 0) AS BIGINT)
         FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1""")
     assert ordered(got.collect()) == ordered(want)
 

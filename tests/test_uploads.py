@@ -87,6 +87,15 @@ def test_rejected_rows_are_set_aside(spark, tmp_path, record):
     assert sorted(r._reasons for r in bad.collect()) == [["date"], ["date"], ["json", "date"]]
 
 
+def test_upload_of_bad_rows_only(spark, tmp_path, record, table):
+    upload(tmp_path / "in", DAY_ONE, "{broken", record | {"date": "bad"})
+    refined = run_upload(
+        spark, str(tmp_path / "in"), str(tmp_path / "lake"), f"{DAY_ONE}/end_file.txt", table, "sessions"
+    )
+    assert refined.first is None and refined.counts == {"bronze": 0, "sessions": 0, "rejected": 2}
+    assert spark.table(f"{table}.sessions").count() == 0
+
+
 def test_marker_must_be_one(spark, tmp_path):
     with pytest.raises(ValueError):
         run_upload(spark, "in", "lake", "customer01/sessions/2017-06-01/data.json", "d", "t")
