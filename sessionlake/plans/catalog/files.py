@@ -159,20 +159,20 @@ def shard_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def word_count_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_count(table(spark, sf_dir, "documents"), "text")
+    return word_count(table(spark, sf_dir, "documents"), "text", lower=True)
 
 
 @query(
     "word_count_lines",
     """
     SELECT word, count(*) AS n
-    FROM (SELECT unnest(string_split_regex(lower(regexp_replace(html, '[\\r\\n]+', ' ', 'g')), '\\s+')) AS word
+    FROM (SELECT unnest(string_split_regex(regexp_replace(html, '[\\r\\n]+', ' ', 'g'), '\\s+')) AS word
           FROM pages)
     WHERE word <> '' GROUP BY word
     """,
 )
 def word_count_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Word count over text files, one row per line."""
+    """Word count over text files, one row per line, upper and lower case apart."""
     path = scratch(spark, "text")
     one_line = F.regexp_replace("html", r"[\r\n]+", " ").alias("value")
     table(spark, sf_dir, "pages").select(one_line).write.text(path)

@@ -14,6 +14,7 @@ from sessionlake.plans.adapt import event_sessions, table
 from sessionlake.plans.batch import Refined, publish_upload, refine
 from sessionlake.plans.catalog.conforming import total
 from sessionlake.plans.catalog.registry import query
+from sessionlake.plans.semantic import Tile
 from sessionlake.sources.files import export_ndjson
 from sessionlake.sources.uploads import has_partition, next_date, pending_dates, ready_uploads
 from sessionlake.sources.warehouse import create_database, create_table, load_parquet
@@ -168,6 +169,20 @@ def published(spark: SparkSession, sf_dir: str) -> str:
     return f"`{database}`.sessions"
 
 
+@query(
+    "tile_published_weeks",
+    f"""
+    SELECT CAST(CAST(date_trunc('week', d) AS DATE) AS VARCHAR) AS date_week, count(*) AS "count"
+    FROM ({EVENT_SESSIONS}) WHERE year(d) = 2024 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 3
+    """,
+)
+def tile_published_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tile over the final table, which is partitioned by date."""
+    tile = Tile(by=["date.week"], limit=3, filters={"date.year": 2024})
+    rows = tile.rows(spark.table(published(spark, sf_dir)))
+    return rows.select(F.col("date_week").cast("string").alias("date_week"), "count")
+
+
 @query("publish_count", f"SELECT count(*) AS n_rows FROM ({EVENT_SESSIONS})")
 def publish_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     final = spark.table(published(spark, sf_dir))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -184,3 +185,21 @@ def test_backfill_then_stream(spark, tmp_path):
     # a repeated load of the snapshot is older than the changes
     replica.merge(with_backfill(snapshot, changes(spark), "emp"), 7)
     assert pairs(replica.rows()) == [(1, "A"), (3, "c")]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_changes_against_a_replay_one_by_one(spark, seed):
+    rng = random.Random(seed)
+    base = {i: f"base{i}" for i in range(40)}
+    rows = [
+        (rng.choice(["INSERT", "UPDATE", "DELETE"]), rng.randrange(10), seq, rng.randrange(60), f"v{seq}")
+        for seq in range(400)
+    ]
+    table = dict(base)
+    for op, _, _, key, name in sorted(rows, key=lambda r: (r[1], r[2])):
+        if op == "DELETE":
+            table.pop(key, None)
+        else:
+            table[key] = name
+    df = spark.createDataFrame(list(base.items()), "id long, name string")
+    assert pairs(apply_changes(df, changes(spark, *rows), ["id"])) == sorted(table.items())

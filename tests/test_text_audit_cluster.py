@@ -16,7 +16,8 @@ from sessionlake.plans.batch import assign_clusters, model_sessions
 
 def test_word_count(spark):
     df = spark.createDataFrame([("Hi  there hi",), ("",), (None,), (" there\tyou ",)], "value string")
-    assert {r.word: r.n for r in word_count(df).collect()} == {"hi": 2, "there": 2, "you": 1}
+    assert {r.word: r.n for r in word_count(df).collect()} == {"Hi": 1, "hi": 1, "there": 2, "you": 1}
+    assert {r.word: r.n for r in word_count(df, lower=True).collect()} == {"hi": 2, "there": 2, "you": 1}
 
 
 def test_audit_counts_while_writing(spark, tmp_path):
