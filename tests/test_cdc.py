@@ -203,3 +203,10 @@ def test_changes_against_a_replay_one_by_one(spark, seed):
             table[key] = name
     df = spark.createDataFrame(list(base.items()), "id long, name string")
     assert pairs(apply_changes(df, changes(spark, *rows), ["id"])) == sorted(table.items())
+
+
+def test_batch_without_a_valid_change(spark, tmp_path):
+    replica = Replica(spark, str(tmp_path / "r"), SCHEMA, ["id"], buckets=2)
+    replica.merge(changes(spark, ("INSERT", 1, 1, 1, "a")), 0)
+    replica.merge(changes(spark, ("INSERT", 1, 1, 1, "a")).filter("id > 1"), 1)
+    assert pairs(replica.rows()) == [(1, "a")]
