@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sessionlake.plans import dashboard
 from sessionlake.plans.adapt import gold
 from sessionlake.plans.catalog.registry import query
-from sessionlake.plans.semantic import Tile, explore, total_sessions
+from sessionlake.plans.semantic import VIEWS, Tile, explore, is_hit_level, label, total_sessions
 
 # One row per session, as the sessions are made from the tables.
 SESSIONS = """
@@ -196,3 +196,84 @@ def explore_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
         "hits_page_page_path", "hits_page_page_title", "hits_transaction_transaction_id",
         revenue.alias("revenue"),
     )
+
+
+# What fills a dimension in the tables; the others stay empty.
+FILLED = {
+    "sessions_visit_id": "o_orderkey",
+    "sessions_visit_number": "o_orderkey",
+    "sessions_visit_start_time": "o_orderdate",
+    "sessions_channel_grouping": "o_orderpriority",
+    "sessions_full_visitor_id": "o_custkey",
+    "sessions_social_engagement_type": "o_orderkey",
+    "totals_hits": "o_orderkey",
+    "totals_transaction_revenue": "o_totalprice",
+    "totals_transactions": "o_orderstatus",
+    "totals_visits": "o_orderkey",
+    "traffic_source_is_true_direct": "o_orderstatus",
+    "traffic_source_source": "o_orderpriority",
+    "device_device_category": "c_mktsegment",
+    "device_is_mobile": "c_mktsegment",
+    "geo_network_city": "c_mktsegment",
+    "geo_network_country": "n_name",
+    "hits_type": "l_returnflag",
+    "hits_time": "l_partkey",
+    "hits_hit_number": "l_linenumber",
+    "hits_is_entrance": "l_linenumber",
+    "hits_is_exit": "l_linestatus",
+    "hits_is_interaction": "l_quantity",
+    "hits_page_hostname": "l_orderkey",
+    "hits_page_page_path": "l_suppkey",
+    "hits_page_page_title": "l_partkey",
+    "hits_transaction_currency_code": "l_orderkey",
+    "hits_transaction_transaction_id": "l_linenumber",
+    "hits_transaction_transaction_revenue": "l_extendedprice",
+    "hits_transaction_transaction_tax": "l_tax",
+}
+
+
+def dimensions(of_hits: bool) -> list[str]:
+    """All dimensions of the session views or of the hit views, but for the date group."""
+    refs = [f"{view}.{name}" for view, names in VIEWS.items() for name in names]
+    return [r for r in refs if is_hit_level(r) == of_hits and r != "sessions.date"]
+
+
+def fill_sql(refs: list[str], source: str) -> str:
+    rows = [
+        f"SELECT '{label(r)}' AS dimension, count({FILLED.get(label(r), 'NULL')}) AS filled FROM ({source})"
+        for r in refs
+    ]
+    return " UNION ALL ".join(rows)
+
+
+@query(
+    "dimension_fill",
+    fill_sql(dimensions(False), SESSIONS.replace("SELECT", "SELECT o_orderdate,", 1))
+    + " UNION ALL "
+    + fill_sql(dimensions(True), "SELECT * FROM orders JOIN lineitem ON o_orderkey = l_orderkey"),
+)
+def dimension_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many sessions or hits have a value, for every dimension of the eight views."""
+    filled = []
+    for refs in (dimensions(False), dimensions(True)):
+        names = [label(r) for r in refs]
+        counts = explore(gold(spark, sf_dir), refs).agg(*[F.count(n).alias(n) for n in names])
+        filled.append(counts.unpivot([], names, "dimension", "filled"))
+    return filled[0].union(filled[1])
+
+
+@query(
+    "explore_dates",
+    f"""
+    SELECT CAST(CAST(date_trunc('week', d) AS DATE) AS VARCHAR) AS date_week,
+           strftime(d, '%Y-%m') AS date_month, monthname(d) AS date_month_name,
+           year(d) || '-Q' || quarter(d) AS date_quarter, count(*) AS n_sessions
+    FROM ({SESSIONS}) GROUP BY ALL
+    """,
+)
+def explore_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions by the timeframes of the date group."""
+    frames = ["date.week", "date.month", "date.month_name", "date.quarter"]
+    rows = explore(gold(spark, sf_dir), frames)
+    week = F.col("date_week").cast("string").alias("date_week")
+    return rows.groupBy(week, *[label(r) for r in frames[1:]]).agg(F.count(F.lit(1)).alias("n_sessions"))

@@ -64,6 +64,21 @@ def test_upload_to_published_table_and_tile(spark, tmp_path, record, table):
     assert refined.zone(spark, "bronze").select("customDimensions").collect()[0][0][0]["index"] == "4"
 
 
+def test_table_definition(spark, table):
+    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}.sessions").collect()}
+    assert described["Comment"] == "it's by day" and "team=web" in described["Table Properties"]
+    partitions = [c.name for c in spark.catalog.listColumns(f"{table}.sessions") if c.isPartition]
+    assert partitions == ["date"]
+
+
+def test_files_can_be_kept_small(spark, tmp_path):
+    df = spark.sql("SELECT id, 2017 AS year, 6 AS month, 1 AS day FROM range(0, 100, 1, 4)")
+    write_zone(df, str(tmp_path / "z"), max_records_per_file=30)
+    assert len(list((tmp_path / "z").rglob("*.parquet"))) == 4
+    write_zone(df, str(tmp_path / "one"))
+    assert len(list((tmp_path / "one").rglob("*.parquet"))) == 1
+
+
 def test_second_day_leaves_the_first_alone(spark, tmp_path, record, table):
     root, lake = tmp_path / "in", str(tmp_path / "lake")
     upload(root, DAY_ONE, record)
