@@ -20,7 +20,8 @@ from sessionlake.operators.cluster import features, fit_clusters, prepare
 from sessionlake.operators.conform import conform, silver
 from sessionlake.sources.files import CORRUPT, read_sessions
 from sessionlake.sources.warehouse import create_table, publish, stage, unstage
-from sessionlake.sources.zones import read_zone, write_zone
+from sessionlake.sources.zones import on_days, read_zone, write_zone
+
 
 @dataclass(frozen=True)
 class Refined:
@@ -30,13 +31,13 @@ class Refined:
     silver: str
     gold: str
     rejected: str
-    first: dt.date | None
-    last: dt.date | None
+    days: list[dt.date]
     counts: dict[str, int]
 
     def zone(self, spark: SparkSession, name: str, schema: StructType | None = None) -> DataFrame:
         """The upload's days of one zone."""
-        return read_zone(spark, getattr(self, name), self.first, self.last, schema)
+        zone = read_zone(spark, getattr(self, name), min(self.days), max(self.days), schema)
+        return on_days(zone, self.days)
 
 
 def _sessions(df: DataFrame) -> Column:
@@ -70,7 +71,7 @@ def refine(
     rows = valid.drop(CORRUPT).select("*", *ymd(day))
     seen = write_zone(
         rows, paths["bronze"],
-        metrics={"first": F.min(day), "last": F.max(day), "sessions": _sessions(rows)},
+        metrics={"days": F.collect_set(day.cast("string")), "sessions": _sessions(rows)},
     )
     counts = {"bronze": seen["rows"], "sessions": seen["sessions"], "rejected": 0}
     # the rows read are never counted too low, so nothing is missed here
@@ -78,10 +79,9 @@ def refine(
         letters, refused = audited(bad, "rejected")
         letters.write.mode("overwrite").json(rejected)
         counts["rejected"] = refused.get["rows"]
-    result = Refined(
-        **paths, rejected=rejected, first=seen["first"], last=seen["last"], counts=counts
-    )
-    if result.first is None:
+    days = sorted(dt.date.fromisoformat(d) for d in seen["days"])
+    result = Refined(**paths, rejected=rejected, days=days, counts=counts)
+    if not days:
         return result
 
     kept = [f for f in schema.fields if f.name == PART]
@@ -131,7 +131,7 @@ def run_upload(
     customer, entity, upload = marker.split("/")[-4:-1]
     folder = f"{ingestion.rstrip('/')}/{marker.removesuffix(MARKER)}"
     refined = refine(spark, folder, lake, customer, entity, upload, schema)
-    if refined.first is not None:
+    if refined.days:
         publish_upload(spark, refined, marker, database, table)
     return refined
 

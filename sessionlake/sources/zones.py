@@ -43,16 +43,25 @@ def write_zone(
     return seen.get
 
 
+def _day_number() -> Column:
+    """Year, month and day of a row's partition as one number, 20170601."""
+    return F.col("year") * 10000 + F.col("month") * 100 + F.col("day")
+
+
 def between(df: DataFrame, start: dt.date | None, end: dt.date | None) -> DataFrame:
     """The days from ``start`` to ``end``, by partition columns only, so that others are not read."""
-    day = F.col("year") * 10000 + F.col("month") * 100 + F.col("day")
     if start is not None:
-        df = df.filter(day >= int(start.strftime("%Y%m%d")))
+        df = df.filter(_day_number() >= int(start.strftime("%Y%m%d")))
     if end is not None:
-        df = df.filter(day <= int(end.strftime("%Y%m%d")))
+        df = df.filter(_day_number() <= int(end.strftime("%Y%m%d")))
     return df
 
 
+def on_days(df: DataFrame, days: list[dt.date]) -> DataFrame:
+    """The given days, by partition columns only."""
+    return df.filter(_day_number().isin([int(d.strftime("%Y%m%d")) for d in days]))
+
+
 def read_zone(
     spark: SparkSession,
     path: str,

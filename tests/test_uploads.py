@@ -94,6 +94,17 @@ def test_second_day_leaves_the_first_alone(spark, tmp_path, record, table):
     assert spark.table(f"{table}.sessions").count() == 0
 
 
+def test_days_between_those_of_an_upload_are_left_alone(spark, tmp_path, record):
+    lake = str(tmp_path / "lake")
+    for folder, dates in (("a", ["20170602"]), ("b", ["20170601", "20170603"])):
+        upload(tmp_path / "in", folder, *[record | {"date": d} for d in dates])
+        refined = refine(spark, str(tmp_path / "in" / folder), lake, "c", "e", folder)
+        assert {refined.counts[n] for n in ("bronze", "silver", "gold")} == {len(dates)}
+    assert refined.days == [dt.date(2017, 6, 1), dt.date(2017, 6, 3)]
+    assert refined.zone(spark, "gold").count() == 2
+    assert spark.read.parquet(refined.gold).count() == 3
+
+
 def test_rejected_rows_are_set_aside(spark, tmp_path, record):
     upload(tmp_path / "in", DAY_ONE, record, record | {"date": "bad"}, "{broken", record | {"date": None})
     refined = refine(spark, str(tmp_path / "in" / DAY_ONE), str(tmp_path / "lake"), "c", "e", "2017-06-01")
@@ -107,7 +118,7 @@ def test_upload_of_bad_rows_only(spark, tmp_path, record, table):
     refined = run_upload(
         spark, str(tmp_path / "in"), str(tmp_path / "lake"), f"{DAY_ONE}/end_file.txt", table, "sessions"
     )
-    assert refined.first is None and refined.counts == {"bronze": 0, "sessions": 0, "rejected": 2}
+    assert refined.days == [] and refined.counts == {"bronze": 0, "sessions": 0, "rejected": 2}
     assert spark.table(f"{table}.sessions").count() == 0
 
 
