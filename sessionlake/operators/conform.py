@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, DateType, MapType, StringType, StructType
 
+from sessionlake.functions.casts import fit
 from sessionlake.functions.dates import parse_date
 
 
@@ -66,7 +67,7 @@ def conform_column(c: Column, have: DataType | None, want: DataType, item: bool
         return F.lit(None).cast(want)
     if isinstance(want, DateType) and isinstance(have, StringType):
         return parse_date(c)
-    return c.try_cast(want)
+    return fit(c, have, want)
 
 
 def conform(df: DataFrame, contract: StructType, keep: list[str] | None = None) -> DataFrame:
@@ -86,7 +87,12 @@ def conform(df: DataFrame, contract: StructType, keep: list[str] | None = None)
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast the named columns that exist and keep every other column as it is."""
     return df.select(
-        [F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns]
+        [
+            fit(F.col(f.name), f.dataType, types[f.name]).alias(f.name)
+            if f.name in types
+            else F.col(f.name)
+            for f in df.schema.fields
+        ]
     )
 
 

@@ -4,7 +4,9 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from sessionlake.functions.casts import fit
 from sessionlake.functions.dates import date_group, epoch_seconds, month_number, parse_date, two_digits, with_ymd
 from sessionlake.functions.paths import (
     data_glob, is_marker, parse_upload_path, staging_name, staging_name_of, upload_folder, zone_path,
@@ -71,3 +73,15 @@ def test_zone_path():
     assert zone_path("/lake/", "gold", "c", "e") == "/lake/gold/c/e"
     with pytest.raises(ValueError):
         zone_path("/lake", "platinum", "c", "e")
+
+
+def test_fit_equals_the_plain_cast(spark):
+    values = [
+        "12", " 12\t", "+7", "-3", "1.5", "1e3", "", "  ", "99999999999999999999", "12\n", "\x0112", "1 2",
+        "--3", "+", "\u0663", None, "0x1F", "1L", "12.", "\u00a012", "2147483648", "word",
+    ]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    v = F.col("v")
+    for want in ("bigint", "int", "boolean", "date"):
+        both = df.select(fit(v, StringType(), want).alias("a"), v.try_cast(want).alias("b")).collect()
+        assert [r.a for r in both] == [r.b for r in both]
