@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlake.llm import packing, sharding, warc
+from sessionlake.llm import decontaminate, packing, quality_rules, sharding, simhash, suffix_dedup, warc
 from sessionlake.llm.registry import ORACLES, QUERIES, table
 from sessionlake.workspace import materialize
 
@@ -26,6 +26,14 @@ def kd_shards(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.shard(table(spark, sf, "documents"), shards=8)
 
 
+@query("op2_quality_rules")
+def rated(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents with their statistics and the verdict of the rules and the forest."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    forest = quality_rules.fit_on_labels(docs, table(spark, sf, "labels"))
+    return quality_rules.rate(docs, forest, drop=("text",)).select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "anomaly")
+
+
 @query("op3_packing")
 def packed(spark: SparkSession, sf: str) -> DataFrame:
     """All documents as pieces of binary length."""
@@ -37,6 +45,62 @@ def packed(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "op5_decontamination",
+    r"""
+    WITH w AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+        FROM documents),
+    i AS (
+        SELECT item_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+        FROM benchmark),
+    win AS (
+        SELECT DISTINCT item_id, least(10, len(words)) AS size,
+               unnest([array_to_string(words[k:k + least(10, len(words)) - 1], ' ')
+                       FOR k IN range(1, len(words) - least(10, len(words)) + 2)]) AS win
+        FROM i WHERE len(words) > 0),
+    sizes AS (SELECT DISTINCT size FROM win),
+    shown AS (
+        SELECT doc_id, size, unnest(range(1, len(words) - size + 2)) AS k,
+               unnest([array_to_string(words[j:j + size - 1], ' ') FOR j IN range(1, len(words) - size + 2)]) AS win
+        FROM w, sizes WHERE len(words) >= size),
+    found AS (SELECT doc_id, shown.size, k, item_id FROM shown JOIN win USING (size, win)),
+    hits AS (
+        SELECT doc_id, count(DISTINCT p) AS n_hit
+        FROM (SELECT doc_id, unnest(range(k, k + size)) AS p FROM found) GROUP BY 1),
+    items AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+        FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY 1)
+    SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM w LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
+)
+def decontaminated(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents against all benchmark items."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = decontaminate.search(docs, table(spark, sf, "benchmark"), drop=("text",))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
+    ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(ids.cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+    )
+
+
+@query("op6_suffix_dedup")
+def without_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents without the bytes of strings that repeat."""
+    cut = suffix_dedup.remove_repeats(table(spark, sf, "documents"))
+    return cut.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query(
     "op8_warc",
     """
@@ -57,3 +121,10 @@ def warc_records(spark: SparkSession, sf: str) -> DataFrame:
     archives = warc.write_archives(warc.with_revisits(table(spark, sf, "pages")))
     records = warc.read_archives(materialize(archives, "archives"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op9_simhash")
+def near_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents with fingerprint and component."""
+    found = simhash.near_duplicates(table(spark, sf, "documents"))
+    return found.select("doc_id", simhash.hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
