@@ -74,6 +74,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def salt(number: int) -> np.uint64:
+    """A number to add before ``mixed``, so that equal values of different kinds differ."""
+    return np.uint64(number * int(ODD) % (1 << 64))
+
+
 class RangeHash:
     """64-bit hashes of byte ranges of one array, from one running sum.
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlake.llm import decontaminate, packing, quality_rules, sharding, simhash, suffix_dedup, warc
+from sessionlake.llm import (
+    crf, decontaminate, line_dedup, neighbours, packing, quality_rules, sharding, simhash, suffix_dedup, warc,
+)
 from sessionlake.llm.registry import ORACLES, QUERIES, table
 from sessionlake.workspace import materialize
 
@@ -45,6 +47,19 @@ def packed(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _remainder(n: int) -> F.Column:
+    """crc32 of doc_id as text, by ``n``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+@query("op4_quality_neighbours")
+def voted(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents with the quality their labelled neighbours vote for; a third of the ids is held out."""
+    docs, held_out = table(spark, sf, "documents").select("doc_id", "text"), F.coalesce(_remainder(3) == 1, F.lit(False))
+    voters = neighbours.fit_on_labels(docs, table(spark, sf, "labels"), ~held_out)
+    return neighbours.vote(docs, voters, drop=("text",)).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @query(
     "op5_decontamination",
     r"""
@@ -101,6 +116,51 @@ def without_repeats(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "op7_line_dedup",
+    r"""
+    WITH l AS (
+        SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(0, len(string_split(text, chr(10))))) AS i
+        FROM documents),
+    o AS (
+        SELECT *, row_number() OVER (ORDER BY doc_id, i) AS ord, length(line) AS n
+        FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+    first AS (SELECT line, min(ord) AS ord, any_value(n) AS n FROM o GROUP BY 1),
+    half AS (
+        SELECT line, ord, n, h, 'first' AS side, substr(line, 1, h) AS part
+        FROM (SELECT *, unnest([n // 2, (n - 1) // 2]) AS h FROM first WHERE n >= 20)
+        UNION
+        SELECT line, ord, n, h, 'last', substr(line, n - h + 1)
+        FROM (SELECT *, unnest([(n + 1) // 2, n // 2]) AS h FROM first WHERE n >= 20)),
+    pairs AS (
+        SELECT DISTINCT x.line AS a, y.line AS b, x.n AS n, y.n AS m
+        FROM half x JOIN half y USING (side, h, part) WHERE y.ord < x.ord AND abs(x.n - y.n) <= 1),
+    near AS (
+        SELECT DISTINCT a FROM pairs WHERE list_bool_or([
+            substr(a, 1, p) = substr(b, 1, p) AND CASE
+                WHEN n = m THEN substr(a, p + 2) = substr(b, p + 2)
+                WHEN n > m THEN substr(a, p + 2) = substr(b, p + 1)
+                ELSE substr(a, p + 1) = substr(b, p + 2) END
+            FOR p IN range(0, greatest(n, m))])),
+    kept AS (
+        SELECT o.*, near.a IS NOT NULL AS is_near, o.ord <> first.ord AND near.a IS NULL AS is_copy
+        FROM o JOIN first USING (line) LEFT JOIN near ON near.a = o.line),
+    marked AS (
+        SELECT l.doc_id, l.line, l.i, coalesce(is_near, false) AS is_near, coalesce(is_copy, false) AS is_copy
+        FROM l LEFT JOIN kept USING (doc_id, i))
+    SELECT d.doc_id, count(m.line) AS n_lines, count(*) FILTER (WHERE is_copy) AS n_copies,
+           count(*) FILTER (WHERE is_near) AS n_near,
+           sha256(coalesce(string_agg(m.line, chr(10) ORDER BY m.i) FILTER (WHERE NOT is_near AND NOT is_copy), '')) AS kept_sha256
+    FROM documents d LEFT JOIN marked m USING (doc_id) GROUP BY d.doc_id
+    """,
+)
+def without_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents without lines that repeat earlier ones, exactly or but for one edit."""
+    left = line_dedup.remove_lines(table(spark, sf, "documents"))
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    return left.select("doc_id", "n_lines", "n_copies", "n_near", F.sha2(text, 256).alias("kept_sha256"))
+
+
 @query(
     "op8_warc",
     """
@@ -128,3 +188,12 @@ def near_groups(spark: SparkSession, sf: str) -> DataFrame:
     """All documents with fingerprint and component."""
     found = simhash.near_duplicates(table(spark, sf, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+@query("op10_language_id")
+def identified(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents with their language; a fifth of the ids is held out."""
+    docs, held_out = table(spark, sf, "documents"), F.coalesce(_remainder(5) == 0, F.lit(False))
+    model = crf.fit_on_documents(docs, ~held_out)
+    named = crf.identify(docs.select("doc_id", "text"), model, drop=("text",))
+    return named.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")

@@ -192,7 +192,9 @@ def _run_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _keyed(classes: DataFrame) -> DataFrame:
     """(key, fingerprint): the key's number in the top 7 bits, a hash of the agreeing bits below."""
-    keys = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(_signed(m)).alias("mask")) for k, (_, _, m) in enumerate(KEYS)])
+    keys = F.array(
+        *[F.named_struct(F.lit("k"), F.lit(k), F.lit("mask"), F.lit(_signed(m))) for k, (_, _, m) in enumerate(KEYS)]
+    )
     rows = classes.select("fingerprint", F.explode(keys).alias("x"))
     inside = F.shiftrightunsigned(F.xxhash64("x.k", F.col("fingerprint").bitwiseAND(F.col("x.mask"))), 7)
     return rows.select(F.shiftleft(F.col("x.k").cast("long"), 57).bitwiseOR(inside).alias("key"), "fingerprint")
@@ -270,7 +272,10 @@ def keep_first(docs: DataFrame) -> DataFrame:
         .agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
         .select("first.doc_id", "first.text_key")
     )
-    keyed = docs.withColumn("_key", _text_key(docs))
-    same = keyed["doc_id"].cast("long").eqNullSafe(first["doc_id"]) & (keyed["_key"] == first["text_key"])
-    kept = keyed.join(first, same, "left_semi")
-    return kept.dropDuplicates(["doc_id", "_key"]).drop("_key")  # rows that repeat
+    # the row as one column, so that no name of its own can clash
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), docs["doc_id"].cast("long").alias("id"), _text_key(docs).alias("key")
+    )
+    same = keyed["id"].eqNullSafe(first["doc_id"]) & (keyed["key"] == first["text_key"])
+    kept = keyed.join(first, same, "left_semi").dropDuplicates(["id", "key"])  # rows that repeat
+    return kept.select("row.*")

@@ -279,9 +279,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             out.append(_kept(row, unit.removed(_bits(right, 1), _bits(right, 2)), unit.at, unit.data))
         return pa.concat_tables(out) if out else _kept({"doc_ids": [], "sizes": []}, np.zeros(0, bool), np.zeros(1, np.int64), np.zeros(0, np.uint8))
 
-    sent = units.mapInArrow(send, BLOCK)
-    answers = step(sent.groupBy("bucket").applyInArrow(settle(1), ANSWER), "round1")
-    by_unit = units.groupBy("unit")
-    again = by_unit.cogroup(answers.groupBy("unit")).applyInArrow(resend, BLOCK)
-    answers = answers.unionByName(step(again.groupBy("bucket").applyInArrow(settle(2), ANSWER), "round2"))
-    return by_unit.cogroup(answers.groupBy("unit")).applyInArrow(finish, RESULT)
+    # frames are not held by name, so that their shuffles end with them
+    first = step(units.mapInArrow(send, BLOCK).groupBy("bucket").applyInArrow(settle(1), ANSWER), "round1")
+    asked = units.groupBy("unit").cogroup(first.groupBy("unit"))
+    answers = first.unionByName(step(asked.applyInArrow(resend, BLOCK).groupBy("bucket").applyInArrow(settle(2), ANSWER), "round2"))
+    return units.groupBy("unit").cogroup(answers.groupBy("unit")).applyInArrow(finish, RESULT)
