@@ -90,7 +90,8 @@ def _candidates(distinct: DataFrame) -> DataFrame:
     )
     done = []
     while True:
-        done.append(rows.where(F.length("rest") <= VARIANT_CHARS))
+        # a rest that is one longer may belong to one of these, or go on with others of its length
+        done.append(rows.where(F.length("rest") <= VARIANT_CHARS + 1))
         more = rows.where(F.length("rest") > VARIANT_CHARS)
         if more.isEmpty():
             break

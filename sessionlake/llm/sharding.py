@@ -27,8 +27,8 @@ SLOT_ROWS = 2000
 TOLERANCE = 0.001
 
 # Bits of a row's key along one dimension: place in the dimension, text, row.
-PLACE_BITS, TEXT_BITS, ROW_BITS = 24, 23, 16
-SPAN = 1 << (PLACE_BITS + TEXT_BITS + ROW_BITS)
+PLACE_BITS, TEXT_BITS, ROW_BITS = 24, 23, 15
+KEY_BITS = PLACE_BITS + TEXT_BITS + ROW_BITS
 
 
 def _number(df: DataFrame, name: str) -> Column:
@@ -84,7 +84,7 @@ def _key(dim: Column, spans: list[tuple[float, float]]) -> Column:
     place = F.lit(0)
     for i, (low, width) in enumerate(spans):
         if width > 0:
-            unit = F.least(F.lit((1 << PLACE_BITS) - 1), F.floor((F.col(f"d{i}") - low) / width * ((1 << PLACE_BITS) - 1)))
+            unit = F.least(F.lit((1 << PLACE_BITS) - 1), F.floor((F.col(f"d{i}") - low) / width * ((1 << PLACE_BITS) - 1)).cast("int"))
             place = F.when(dim == i, unit).otherwise(place)
     place = place.cast("long")
     return F.shiftleft(place, TEXT_BITS + ROW_BITS) + F.shiftleft(F.col("text_key"), ROW_BITS) + F.col("row_key")
@@ -122,23 +122,24 @@ def _cuts(rows: DataFrame, nodes: dict[int, int], spans: list[tuple[float, float
             shares = [r[f"w{i}"] / width if width > 0 else 0.0 for i, (_, width) in enumerate(spans)]
             k = nodes[r["shard"]]
             state[r["shard"]] = {
-                "dim": max(range(len(spans)), key=lambda i: shares[i]), "low": 0, "high": SPAN,
+                "dim": max(range(len(spans)), key=lambda i: shares[i]), "low": 0, "bits": KEY_BITS,
                 "below": 0, "goal": r["weight"] * (k // 2) / k, "slack": r["weight"] * TOLERANCE,
             }
-    cuts = {s: (0, SPAN) for s in nodes if s not in state}
-    bins = max(16, min(1024, HISTOGRAM_ROWS // max(1, len(nodes))))
+    cuts = {s: (0, 1 << KEY_BITS) for s in nodes if s not in state}
+    round_bits = max(4, min(10, (HISTOGRAM_ROWS // max(1, len(nodes))).bit_length() - 1))
     while state:
-        for s, x in state.items():
-            x["step"] = max(1, -(-(x["high"] - x["low"]) // bins))
+        for x in state.values():  # bins of whole texts come before bins within one
+            step = x["bits"] - round_bits
+            x["step"] = max(ROW_BITS if x["bits"] > ROW_BITS else 0, step)
         table = rows.sparkSession.createDataFrame(
-            [(s, x["dim"], x["low"], min(x["high"], SPAN - 1), x["step"]) for s, x in state.items()],
-            "node int, dim int, low long, high long, step long",
+            [(s, x["dim"], x["low"], x["low"] + (1 << x["bits"]), x["step"]) for s, x in state.items()],
+            "node int, dim int, low long, high long, step int",
         )
         histogram = (
             rows.join(F.broadcast(table), F.col("shard") == F.col("node"))
             .select("node", "low", "high", "step", "size", _key(F.col("dim"), spans).alias("key"))
-            .where("key >= low AND key <= high")
-            .groupBy("node", F.expr("(key - low) div step").alias("bin"))
+            .where("key >= low AND key < high")
+            .groupBy("node", F.expr("shiftright(key - low, step)").alias("bin"))
             .agg(F.sum("size").alias("weight"))
             .collect()
         )
@@ -146,24 +147,17 @@ def _cuts(rows: DataFrame, nodes: dict[int, int], spans: list[tuple[float, float
         for r in histogram:
             by_node.setdefault(r["node"], []).append((r["bin"], r["weight"]))
         for s, x in list(state.items()):
-            for b, weight in sorted(by_node.get(s, [])):
+            for b, weight in sorted(by_node[s]):
                 if x["below"] + weight >= x["goal"]:
                     break
                 x["below"] += weight
-            else:
-                cuts[s] = (x["dim"], x["high"])
-                del state[s]
+            low = x["low"] + (b << x["step"])
+            if weight > x["slack"] and x["step"]:
+                x["low"], x["bits"] = low, x["step"]
                 continue
-            low, high = x["low"] + b * x["step"], min(x["high"], x["low"] + (b + 1) * x["step"])
-            if weight <= x["slack"] or x["step"] == 1:  # go to the nearer end of the bin
-                left = x["goal"] - x["below"] < x["below"] + weight - x["goal"]
-                at = low if left else high
-                if weight <= x["slack"]:  # not through a text that weighs little
-                    at = (at if left else at + (1 << ROW_BITS) - 1) >> ROW_BITS << ROW_BITS
-                cuts[s] = (x["dim"], at)
-                del state[s]
-                continue
-            x["low"], x["high"] = low, high
+            nearer = x["goal"] - x["below"] < x["below"] + weight - x["goal"]
+            cuts[s] = (x["dim"], low if nearer else low + (1 << x["step"]))
+            del state[s]
     return cuts
 
 

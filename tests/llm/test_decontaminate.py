@@ -1,0 +1,82 @@
+from __future__ import annotations
+
+import random
+import re
+
+from sessionlake.llm import decontaminate as d
+from tests.llm.conftest import CLASHES, SCHEMA
+
+ITEM = "item_id long, text string"
+
+
+def tokens(text):
+    lower = (text or "").translate({c: c + 32 for c in range(65, 91)})
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+
+
+def by_hand(text, items):
+    w, hit, found = tokens(text), set(), set()
+    for item, t in items:
+        own = tokens(t)
+        size = min(10, len(own))
+        windows = {tuple(own[k : k + size]) for k in range(len(own) - size + 1)} if own else set()
+        for i in range(len(w) - size + 1):
+            if tuple(w[i : i + size]) in windows:
+                hit |= set(range(i, i + size))
+                if item is not None:
+                    found.add(item)
+    return len(w), sorted(hit), sorted(found)
+
+
+def compare(spark, docs, items):
+    df = spark.createDataFrame(docs, SCHEMA)
+    rows = d.search(df, spark.createDataFrame(items, ITEM)).collect()
+    for r in rows:
+        hit = [i for s in r["spans"] for i in range(s["first"], s["last"] + 1)]
+        assert (r["n_words"], hit, r["items"]) == by_hand(r["text"], items), r["doc_id"]
+        raw = (r["text"] or "").encode()
+        for s in r["spans"]:
+            assert len(tokens(raw[s["start"] : s["end"]].decode())) == s["last"] - s["first"] + 1
+    return rows
+
+
+def random_docs(seed, letters="abc", n=60):
+    rng = random.Random(seed)
+    return [(i, " ".join(rng.choice(letters) for _ in range(rng.randint(0, 120))), "en", "s", 1) for i in range(n)]
+
+
+def test_against_all_windows(spark):
+    rng = random.Random(4)
+    for letters, sizes in (("ab", (0, 40)), ("abcé", (1, 14)), ("abcdefgh", (8, 30))):
+        items = [(i, " ".join(rng.choice(letters) for _ in range(rng.randint(*sizes)))) for i in range(25)]
+        items += [(90, items[3][1]), (91, None), (92, "?!"), (None, items[5][1] + " zz"), (3, items[4][1])]
+        docs = [(i, f"{t} {items[i % 25][1][: 10 + i]} {t}", *more) for i, t, *more in random_docs(sizes[1], letters)]
+        found = compare(spark, docs, items)
+        assert any(r["items"] for r in found)
+
+
+def test_blocks_give_what_one_automaton_gives(spark, monkeypatch):
+    rng = random.Random(8)
+    items = [(i, " ".join(rng.choice("abcd") for _ in range(rng.randint(2, 25)))) for i in range(20)]
+    monkeypatch.setattr(d, "BLOCK_WORDS", 60)
+    compare(spark, random_docs(9, "abcd", 30), items)
+
+
+def test_passages_go_and_the_rest_stays(spark):
+    item = "one two three four five six seven eight nine ten eleven"
+    lead = "Some words before it, which nobody has asked about in any test whatsoever. "
+    docs = [(1, f"{lead}{item.upper()}! After it.", "en", "s", 1), (2, item, "en", "s", 1), (3, lead, "en", "s", 1), (4, None, "en", "s", 1)]
+    df = spark.createDataFrame(docs, SCHEMA)
+    left = {r["doc_id"]: r["text"] for r in d.clean(df, spark.createDataFrame([(1, item)], ITEM)).collect()}
+    assert left == {1: f"{lead}! After it.", 3: lead, 4: None}
+
+
+def test_edges(spark, edge, empty):
+    none = spark.createDataFrame([], ITEM)
+    items = spark.createDataFrame([(1, "a")], ITEM)
+    assert d.search(empty, items).count() == 0 and d.clean(empty, none).count() == 0
+    assert all(r["spans"] == [] and r["items"] == [] for r in d.search(edge, none).collect())
+    assert {r["doc_id"] for r in d.search(edge, items).collect() if r["items"]} == {4}
+    left = d.clean(edge, items)
+    assert left.count() == edge.count() - 1 and left.columns[:5] == edge.columns[:5]
+    assert "own row" in left.first().asDict().values() and "row" in CLASHES

@@ -1,0 +1,61 @@
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+from sessionlake.llm import suffix_dedup as s
+from tests.llm.conftest import SCHEMA, words
+
+
+def by_hand(texts):
+    raw = [(t or "").encode() for t in texts]
+    seen = Counter(r[i : i + 200] for r in raw for i in range(len(r) - 199))
+    out = []
+    for r in raw:
+        gone = [False] * len(r)
+        for i in range(len(r) - 199):
+            if seen[r[i : i + 200]] > 1:
+                gone[i : i + 200] = [True] * 200
+        spans = sum(g and (i == 0 or not gone[i - 1]) for i, g in enumerate(gone))
+        out.append((len(r), sum(gone), spans, bytes(b for b, g in zip(r, gone, strict=True) if not g)))
+    return out
+
+
+def compare(spark, texts):
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], SCHEMA)
+    rows = sorted(s.remove_repeats(df).collect(), key=lambda r: r["doc_id"])
+    got = [(r["n_bytes"], r["n_removed"], len(r["spans"]), bytes(r["kept"])) for r in rows]
+    assert got == by_hand(texts)
+    for r in rows:
+        assert sum(x["end"] - x["start"] for x in r["spans"]) == r["n_removed"]
+
+
+def test_cover_has_every_difference():
+    assert {(a - b) % s.V for a in s.COVER for b in s.COVER} == set(range(s.V))
+
+
+def test_against_all_strings(spark, monkeypatch):
+    monkeypatch.setattr(s, "UNIT_BYTES", 3000)
+    rng = random.Random(3)
+    base = words(1, 300)
+    texts = [None, "", "x" * 199, "x" * 200, "y" * 450, "ab" * 300, base, base, words(7, 100)]
+    for _ in range(60):  # pieces of one text in other surroundings, around the length that counts
+        a = rng.randrange(len(base) - 420)
+        texts.append(words(rng.random(), rng.randint(0, 40)) + base[a : a + rng.randint(150, 420)] + words(rng.random(), rng.randint(0, 40)))
+    for _ in range(20):  # copies with an edit
+        t = list(base)
+        t[rng.randrange(len(t))] = "Q"
+        texts.append("".join(t))
+    compare(spark, texts)
+
+
+def test_overlaps_inside_one_document(spark):
+    part = words(5, 60)
+    compare(spark, [part + part[:250] + "é" + part[100:], "é" * 400, ("z" * 57 + "w") * 12])
+
+
+def test_edges(edge, edge_rows, empty):
+    rows = s.remove_repeats(edge).collect()
+    assert sorted(str(r["doc_id"]) for r in rows) == sorted(str(r[0]) for r in edge_rows)
+    assert all(bytes(r["kept"]) == b"" for r in rows if r["doc_id"] in (5, 6))
+    assert s.remove_repeats(empty).count() == 0
