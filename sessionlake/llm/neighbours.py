@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, IntegerType, StructField
@@ -123,8 +124,9 @@ def fit(counts: np.ndarray, labels: np.ndarray) -> Voters | None:
     return made
 
 
-def _sparse(counts: np.ndarray) -> pa.Array:
-    return pa.array([c.astype("<f4").tobytes() for c in counts], pa.binary())
+def _packed(counts: np.ndarray) -> pa.Array:
+    press = zstandard.ZstdCompressor(1)
+    return pa.array([press.compress(c.astype("<f4").tobytes()) for c in counts], pa.binary())
 
 
 def fit_on_labels(docs: DataFrame, labels: DataFrame, may_learn: F.Column) -> Voters | None:
@@ -143,10 +145,11 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, may_learn: F.Column) -> Vo
     sample = named.join(F.broadcast(chosen), "doc_id")  # at most 2 * ROWS_PER_LABEL rows
     counted = add_columns(
         sample, "text", [StructField("counts", BinaryType())],
-        lambda part: {"counts": _sparse(term_counts(*text_bytes(part.column("text"))))}, drop=("text",),
+        lambda part: {"counts": _packed(term_counts(*text_bytes(part.column("text"))))}, drop=("text",),
     )
     rows = counted.orderBy(order, "doc_id", F.xxhash64("counts")).limit(2 * ROWS_PER_LABEL).collect()
-    counts = np.stack([np.frombuffer(r["counts"], "<f4") for r in rows]) if rows else np.zeros((0, TERMS), np.float32)
+    unpress = zstandard.ZstdDecompressor()
+    counts = np.stack([np.frombuffer(unpress.decompress(r["counts"]), "<f4") for r in rows]) if rows else np.zeros((0, TERMS), np.float32)
     return fit(counts, np.array([r["quality"] for r in rows], float))
 
 

@@ -8,6 +8,9 @@ crosses documents.
 
 from __future__ import annotations
 
+import os
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,8 +24,17 @@ from sessionlake.llm.arrow import slices
 #: Longest sequence.
 LIMIT = 2048
 
-#: Words whose ids a task remembers; it starts anew when they are more.
-WORDS_KEPT = 1 << 20
+#: Words whose ids a worker remembers; it starts anew when they are more.
+WORDS_KEPT = 3 << 19
+
+#: Text bytes that words are gathered from at a time.
+PART_BYTES = 4 << 20
+
+#: Marks that may end a word.
+MARKS = b".,;:!?"
+
+#: A number of one digit, which is a token of its own.
+BETWEEN = "0"
 
 PIECE = "doc_id long, start long, length long, doc_tokens long, bucket int, ids binary"
 
@@ -34,17 +46,57 @@ def piece_lengths(tokens: int, limit: int = LIMIT) -> list[int]:
 
 
 class WordIds(dict):
-    """Ids of a word without blanks, as bytes of unsigned 32-bit numbers; asks the tokenizer once a word."""
+    """Ids of words without blanks, as bytes of unsigned 32-bit numbers; each is encoded once.
+
+    New words are encoded as one text, with a number between them that none of
+    them has, which the tokenizer sets apart from any word.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        (self.between,) = self._ids([BETWEEN])
+        self.marks = {ord(m): np.array(self._ids([m]), "<u4").tobytes() for m in MARKS.decode()}
+
+    def _ids(self, texts: list[str]) -> list[int]:
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)[0].ids
 
     def learn(self, words: set[bytes]) -> None:
-        new = list(words.difference(self))
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        self.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in found), strict=True))
+        if len(self) > WORDS_KEPT:
+            self.clear()
+        new = words.difference(self)
+        # a mark after a letter is a token of its own, and ASCII words are read in lower case
+        derived = {w: w[:-1] for w in new if w[-1] in MARKS and w[-2:-1].isalpha()}
+        new.difference_update(derived)
+        new.update(c for c in derived.values() if c not in self)
+        lower = {w: w.lower() for w in new if w.isascii() and not w.islower() and b"<" not in w}
+        new.difference_update(lower)
+        new.update(w for w in lower.values() if w not in self)
+        self._encode(list(new))
+        self.update((w, self[low]) for w, low in lower.items())
+        self.update((w, self[core] + self.marks[w[-1]]) for w, core in derived.items())
+
+    def _encode(self, new: list[bytes]) -> None:
+        mark = BETWEEN.encode()
+        plain = [w for w in new if mark not in w]
+        if plain:
+            ids = np.array(self._ids([f" {BETWEEN} ".encode().join(plain).decode()]), "<u4")
+            cuts = (4 * np.flatnonzero(ids == self.between)).tolist()
+            data = ids.tobytes()
+            starts = [0, *(c + 4 for c in cuts)]
+            self.update(zip(plain, (data[a:b] for a, b in zip(starts, [*cuts, len(data)], strict=True)), strict=True))
+        for w in new:
+            if mark in w:
+                self[w] = np.array(self._ids([w.decode()]), "<u4").tobytes()
+
+
+def _worker_words(path: str) -> WordIds:
+    """The words that this worker process knows; they outlive a task, although functions travel to it by value."""
+    home = sys.modules.setdefault("sessionlake_worker", types.ModuleType("sessionlake_worker"))
+    if path not in home.__dict__:
+        home.__dict__[path] = WordIds(path)
+    return home.__dict__[path]
 
 
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, limit: int = LIMIT) -> DataFrame:
@@ -56,21 +108,18 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, limit: int = LIM
     Rows that repeat are packed each for itself; other columns are not read.
 
     The tokenizer of ``tokenizer_path`` must treat words between ASCII blanks
-    apart from each other and drop the blanks; so each word is encoded once.
+    apart from each other and drop the blanks, so that each word is encoded
+    once, and give each digit a token of its own.
     ``limit`` is a power of two.
     """
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        known = WordIds(tokenizer_path)
+        known = _worker_words(tokenizer_path)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", PART_BYTES):
                 texts = [t.split() for t in pc.fill_null(part.column(1), "").cast(pa.binary()).to_pylist()]
-                if len(known) > WORDS_KEPT:
-                    known.clear()
                 known.learn(set().union(*texts))
                 yield _pieces(part.column(0).to_pylist(), [b"".join(map(known.__getitem__, t)) + end for t in texts])
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from collections import defaultdict
 
 import numpy as np
@@ -46,5 +47,15 @@ def test_a_word_forgotten_is_learned_again(spark, edge, monkeypatch):
     assert {(r["doc_id"], r["start"], bytes(r["ids"])) for r in packing.pack(edge, PATH).collect()} == want
 
 
+def test_words_as_the_tokenizer_has_them():
+    whole, known, rng = Tokenizer.from_file(PATH), packing.WordIds(PATH), random.Random(3)
+    letters = list("abKSé.,;:!?'0½²_-<|>İΣςßÅ—😀ñ漢") + ["<|endoftext|>", "<|ENDOFTEXT|>", "\u0307", "\u030a", "W\u030a", "I\u0307", "\u0958", "'ll", "\xa0", "\x1c"]
+    words = {"".join(rng.choice(letters) for _ in range(rng.randint(1, 7))).encode() for _ in range(20_000)}
+    words = {w for w in words if len(w.split()) == 1}
+    known.learn(words)
+    for w in words:
+        assert np.frombuffer(known[w], "<u4").tolist() == whole.encode(w.decode(), add_special_tokens=False).ids, w
+
+
 def test_empty_table(empty):
     assert packing.pack(empty, PATH).count() == 0
