@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sessionlake.workspace import materialize
+
 ORDER = ["_ts", "_seq"]
 ENVELOPE = ["_metadata_table", "_op", "_ts", "_seq"]
 
@@ -19,12 +21,16 @@ ENVELOPE = ["_metadata_table", "_op", "_ts", "_seq"]
 def latest(df: DataFrame, keys: list[str], order: list[str] = ORDER) -> DataFrame:
     """The last change of each key.
 
-    An aggregate, not a window: every task keeps one row per key before the
-    shuffle, so a key with a third of all changes costs one row per task.
+    Changes that are equal in ``order`` are told apart by operation and then by
+    a hash of the row, so the result does not depend on the order of rows. An
+    aggregate, not a window: every task keeps one row per key before the
+    shuffle, so a key with a third of all changes costs one row per task. Rows
+    are structs, so the aggregate sorts by key; keep the payload narrow.
     """
     rest = [c for c in df.columns if c not in keys]
-    newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
-    return df.groupBy(*keys).agg(newest).select(*keys, "_row.*")
+    ties = [F.col("_op")] if "_op" in rest and "_op" not in order else []
+    newest = F.max_by(F.struct(*rest), F.struct(*order, *ties, F.xxhash64(*rest)))
+    return df.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*")
 
 
 def apply_changes(
@@ -36,11 +42,11 @@ def apply_changes(
 ) -> DataFrame:
     """``base`` after inserts, updates and deletes; ``base`` has one row per key.
 
-    Rows of ``base`` without a change pass through an anti join. Changes read
-    from small files are broadcast by their known size, and ``base`` is then
-    not shuffled at all.
+    Rows of ``base`` without a change pass through an anti join. The last
+    changes are written once and used twice; where they are small, they are
+    broadcast by their known size, and ``base`` is then not shuffled at all.
     """
-    last = latest(changes, keys, order)
+    last = materialize(latest(changes, keys, order), "last_changes")
     same = reduce(
         Column.__and__, [F.col(f"b.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]
     )

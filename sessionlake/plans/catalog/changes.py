@@ -43,7 +43,7 @@ def payload(df: DataFrame) -> DataFrame:
 def change_files(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     """The changes as Parquet change files in the order they happened; returns the stream."""
     changes = event_changes(spark, sf_dir)
-    changes.repartitionByRange(4, "_seq").write.parquet(f"{root}/in")
+    changes.repartitionByRange("_seq").write.parquet(f"{root}/in")
     return change_stream(spark, f"{root}/in", changes.schema, "parquet", max_files=2)
 
 
@@ -110,7 +110,8 @@ def cdc_replica_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merged(spark: SparkSession, sf_dir: str) -> Replica:
     root = scratch(spark, "replica")
     stream = change_files(spark, sf_dir, root)
-    replica = Replica(spark, f"{root}/replica", stream.schema, ["user_id"], buckets=8)
+    # the events of a user are one row here, whatever their type
+    replica = Replica(spark, f"{root}/replica", stream.schema, ["user_id"], template="users")
     rules = {"key": F.col("user_id").isNotNull(), "op": F.col("_op").isin("INSERT", "UPDATE", "DELETE")}
     start_merge(
         stream, replica, f"{root}/dead", f"{root}/checkpoint", rules, once=True
@@ -118,6 +119,53 @@ def merged(spark: SparkSession, sf_dir: str) -> Replica:
     return replica
 
 
+@query(
+    "cdc_replica_tables",
+    f"""
+    SELECT tbl, {ROW} FROM (
+        SELECT * FROM ({CHANGES}) QUALIFY row_number() OVER (PARTITION BY tbl, user_id ORDER BY ts DESC, seq DESC) = 1)
+    WHERE op <> 'DELETE'
+    """,
+)
+def cdc_replica_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One replica for each event type, from one stream of changes."""
+    root = scratch(spark, "replicas")
+    stream = change_files(spark, sf_dir, root)
+    replica = Replica(spark, f"{root}/replica", stream.schema, ["user_id"])
+    rules = {"key": F.col("user_id").isNotNull()}
+    start_merge(stream, replica, f"{root}/dead", f"{root}/checkpoint", rules, once=True).awaitTermination()
+    alive = replica.stored().filter("_op <> 'DELETE'")
+    return alive.select(F.col("_target").alias("tbl"), "user_id", cents(F.col("value")).alias("cents"), "props")
+
+
+@query(
+    "cdc_backfill_stream",
+    f"""
+    SELECT {ROW} FROM (
+        SELECT op, ts, seq, {ROW} FROM ({CHANGES})
+        UNION ALL
+        SELECT 'INSERT', NULL, -2, c_custkey, CAST(round(c_acctbal * 100) AS BIGINT), c_mktsegment FROM customer
+        UNION ALL
+        SELECT 'INSERT', NULL, -1, s_suppkey, CAST(round(s_acctbal * 100) AS BIGINT), s_name FROM supplier)
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, seq DESC) = 1 AND op <> 'DELETE'
+    """,
+)
+def cdc_backfill_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two full copies, the second over the first, then the changes under one checkpoint and again under a new one."""
+    root = scratch(spark, "backfills")
+    stream = change_files(spark, sf_dir, root)
+    replica = Replica(spark, f"{root}/replica", stream.schema, ["user_id"], template="users")
+    suppliers = table(spark, sf_dir, "supplier")
+    replica.backfill(customers(spark, sf_dir), "users")
+    replica.backfill(
+        suppliers.select(F.col("s_suppkey").alias("user_id"), F.col("s_acctbal").alias("value"), F.col("s_name").alias("props")), "users"
+    )
+    rules = {"key": F.col("user_id").isNotNull()}
+    for checkpoint in ("first", "second"):
+        start_merge(stream, replica, f"{root}/dead/{checkpoint}", f"{root}/{checkpoint}", rules, once=True).awaitTermination()
+    return payload(replica.rows())
+
+
 @query(
     "cdc_backfill_union",
     f"""

@@ -59,6 +59,32 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below ``path``; none if it is not there."""
+    fs, p = _file_system(spark, path)
+    if not fs.exists(p):
+        return []
+    return [f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory()]
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or of all files below a folder; 0 if it is not there."""
+    fs, p = _file_system(spark, path)
+    return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove what this application wrote below the shared folder, and its databases.
+
+    For the end of a job: frames that read such tables cannot be used after it.
+    """
+    root = f"{shared_root(spark)}/sessionlake-{spark.sparkContext.applicationId}"
+    for database in spark.catalog.listDatabases():
+        if f"/sessionlake-{spark.sparkContext.applicationId}/" in (database.locationUri or ""):
+            spark.sql(f"DROP DATABASE `{database.name}` CASCADE")
+    remove(spark, root)
+
+
 def fingerprint(spark: SparkSession, path: str) -> str:
     """Size and time of a file or folder; changes when it is written anew."""
     fs, p = _file_system(spark, path)

@@ -114,12 +114,12 @@ def test_stream_merge_equals_batch_and_restarts(spark, tmp_path):
     late = [("UPDATE", 2, 8, 2, "late"), ("INSERT", 4, 9, 5, "y")]
     write_file(tmp_path / "in", "f1.json", *first)
     write_file(tmp_path / "in", "f2.json", *second)
-    replica = Replica(spark, str(tmp_path / "replica"), SCHEMA, ["id"], buckets=4)
+    replica = Replica(spark, str(tmp_path / "replica"), SCHEMA, ["id"])
     run_merge(spark, tmp_path, replica)
     assert pairs(replica.rows()) == [(1, "A"), (4, "z")]
 
     write_file(tmp_path / "in", "f3.json", *late)
-    again = Replica(spark, str(tmp_path / "replica"), SCHEMA, ["id"], buckets=4)
+    again = Replica(spark, str(tmp_path / "replica"), SCHEMA, ["id"])
     run_merge(spark, tmp_path, again)
     # the late update of key 2 is older than its delete
     assert pairs(again.rows()) == [(1, "A"), (4, "z"), (5, "y")]
@@ -131,25 +131,61 @@ def test_stream_merge_equals_batch_and_restarts(spark, tmp_path):
     assert sorted(r._reasons for r in dead.collect()) == [["key"], ["op"]]
 
 
-def test_repeated_batch_uses_its_staged_copy(spark, tmp_path):
-    replica = Replica(spark, str(tmp_path / "r"), SCHEMA, ["id"], buckets=2)
+def test_repeated_batches_and_new_checkpoints_are_merged(spark, tmp_path):
+    replica = Replica(spark, str(tmp_path / "r"), SCHEMA, ["id"])
     batch = changes(spark, ("INSERT", 1, 1, 1, "a"), ("INSERT", 1, 2, 2, "b"))
-    replica.merge(batch, 0)
-    # a swap that broke off: the state of the touched buckets is gone
-    spark.createDataFrame([], replica.schema).write.mode("overwrite").parquet(replica.state)
-    assert pairs(replica.rows()) == []
-    replica.merge(batch, 0)
+    replica.merge(batch)
+    replica.merge(batch)
     assert pairs(replica.rows()) == [(1, "a"), (2, "b")]
+    for check, name in (("one", "c"), ("two", "d")):  # both begin with batch 0
+        write_file(tmp_path / check, "f.json", ("UPDATE", 2, 3 if check == "one" else 4, 1, name))
+        stream = change_stream(spark, str(tmp_path / check), SCHEMA, "json")
+        start_merge(stream, replica, str(tmp_path / "dead"), str(tmp_path / f"check_{check}"), rules(), once=True).awaitTermination()
+    assert pairs(replica.rows()) == [(1, "d"), (2, "b")]
+
+
+def test_a_merge_that_broke_off_changes_nothing(spark, tmp_path):
+    replica = Replica(spark, str(tmp_path / "r"), SCHEMA, ["id"], fold_share=1e9)
+    replica.merge(changes(spark, ("INSERT", 1, 1, 1, "a")))
+    replica.merge(changes(spark, ("UPDATE", 2, 2, 1, "b")))
+    (tmp_path / "r" / "load" / "000000000001" / "_SUCCESS").unlink()
+    assert pairs(replica.rows()) == [(1, "a")]
+    replica.merge(changes(spark, ("UPDATE", 2, 2, 1, "b")))
+    replica.fold()
+    assert pairs(replica.rows()) == [(1, "b")]
+
+
+def test_a_merge_leaves_stored_files_alone(spark, tmp_path):
+    replica = Replica(spark, str(tmp_path / "r"), SCHEMA, ["id"], fold_share=10)
+    replica.merge(changes(spark, *[("INSERT", 1, i, i, "a") for i in range(50)]))
+    replica.fold()
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "r").rglob("*.parquet")}
+    replica.merge(changes(spark, ("UPDATE", 2, 99, 1, "b")))
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "r").rglob("*.parquet")}
+    assert before.items() <= after.items() and replica.rows().count() == 50
+    assert replica.rows().filter("name = 'b'").count() == 1
+
 
+def test_loads_are_folded_once_they_are_large(spark, tmp_path):
+    replica = Replica(spark, str(tmp_path / "r"), SCHEMA, ["id"], fold_share=1e9, fold_loads=3)
+    for i in range(6):
+        replica.merge(changes(spark, ("INSERT", i, i, i, "a"), ("DELETE", i, i, i - 2, None)))
+    assert len(list((tmp_path / "r" / "base").iterdir())) == 1 and len(list((tmp_path / "r" / "load").iterdir())) == 2
+    assert pairs(replica.rows()) == [(4, "a"), (5, "a")]
 
-def test_merge_rewrites_only_touched_buckets(spark, tmp_path):
-    replica = Replica(spark, str(tmp_path / "r"), SCHEMA, ["id"], buckets=8)
-    replica.merge(changes(spark, *[("INSERT", 1, i, i, "a") for i in range(50)]), 0)
-    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "r" / "state").rglob("*.parquet")}
-    replica.merge(changes(spark, ("UPDATE", 2, 99, 1, "b")), 1)
-    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "r" / "state").rglob("*.parquet")}
-    kept = [p for p in before if after.get(p) == before[p]]
-    assert len(kept) >= 6 and replica.rows().count() == 50
+
+def test_tables_never_meet(spark, tmp_path):
+    replica = Replica(spark, str(tmp_path / "r"), SCHEMA, ["id"], template="{_metadata_table}_replica")
+    emp = changes(spark, ("INSERT", 1, 1, 1, "a"))
+    replica.merge(emp.union(emp.withColumn("_metadata_table", F.lit("dept")).withColumn("name", F.lit("x"))))
+    replica.merge(changes(spark, ("DELETE", 2, 2, 1, None)))
+    assert pairs(replica.rows()) == [(1, "x")]
+    assert pairs(replica.rows("dept_replica")) == [(1, "x")] and pairs(replica.rows("emp_replica")) == []
+
+
+def test_ties_do_not_depend_on_the_order_of_rows(spark):
+    rows = [("DELETE", 1, 1, 1, None), ("INSERT", 1, 1, 1, "a"), ("INSERT", 1, 1, 1, "b")]
+    assert len({str(latest(changes(spark, *r), ["id"]).collect()) for r in (rows, rows[::-1], rows[1:] + rows[:1])}) == 1
 
 
 def test_log_keeps_every_change(spark, tmp_path):
@@ -165,17 +201,17 @@ def test_log_keeps_every_change(spark, tmp_path):
 @pytest.mark.parametrize("hot", [2000])
 def test_hot_key_in_a_batch(spark, tmp_path, hot):
     """Most changes of the batch are of one key."""
-    replica = Replica(spark, str(tmp_path / "r"), SCHEMA, ["id"], buckets=4)
+    replica = Replica(spark, str(tmp_path / "r"), SCHEMA, ["id"])
     df = spark.range(hot).selectExpr(
         "'emp' AS _metadata_table", "'UPDATE' AS _op", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS _ts",
         "id AS _seq", "CAST(7 AS long) AS id", "CAST(id AS string) AS name",
     )
-    replica.merge(df, 0)
+    replica.merge(df)
     assert pairs(replica.rows()) == [(7, str(hot - 1))]
 
 
 def test_backfill_then_stream(spark, tmp_path):
-    replica = Replica(spark, str(tmp_path / "replica"), SCHEMA, ["id"], buckets=4)
+    replica = Replica(spark, str(tmp_path / "replica"), SCHEMA, ["id"])
     snapshot = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id long, name string")
     replica.backfill(snapshot, "emp")
     assert pairs(replica.rows()) == [(1, "a"), (2, "b"), (3, "c")]
@@ -183,8 +219,11 @@ def test_backfill_then_stream(spark, tmp_path):
     run_merge(spark, tmp_path, replica)
     assert pairs(replica.rows()) == [(1, "A"), (3, "c")]
     # a repeated load of the snapshot is older than the changes
-    replica.merge(with_backfill(snapshot, changes(spark), "emp"), 7)
+    replica.backfill(snapshot, "emp")
     assert pairs(replica.rows()) == [(1, "A"), (3, "c")]
+    # a second one takes the place of the first, but for what has changed since
+    replica.backfill(spark.createDataFrame([(1, "q"), (3, "C"), (4, "d")], "id long, name string"), "emp")
+    assert pairs(replica.rows()) == [(1, "A"), (3, "C"), (4, "d")]
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
@@ -206,7 +245,7 @@ def test_changes_against_a_replay_one_by_one(spark, seed):
 
 
 def test_batch_without_a_valid_change(spark, tmp_path):
-    replica = Replica(spark, str(tmp_path / "r"), SCHEMA, ["id"], buckets=2)
-    replica.merge(changes(spark, ("INSERT", 1, 1, 1, "a")), 0)
-    replica.merge(changes(spark, ("INSERT", 1, 1, 1, "a")).filter("id > 1"), 1)
+    replica = Replica(spark, str(tmp_path / "r"), SCHEMA, ["id"])
+    replica.merge(changes(spark, ("INSERT", 1, 1, 1, "a")))
+    replica.merge(changes(spark, ("INSERT", 1, 1, 1, "a")).filter("id > 1"))
     assert pairs(replica.rows()) == [(1, "a")]
