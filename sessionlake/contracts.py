@@ -196,6 +196,15 @@ MONTH = ["year", "month"]
 PART = "part"
 PART_FIELD = StructField(PART, IntegerType())
 
+# The upload that rows came with: a partition of the zones and of the final
+# table, so that running an upload again replaces its own rows and no others.
+UPLOAD = "upload"
+UPLOAD_FIELD = StructField(UPLOAD, StringType())
+
+# The line a session was read from, kept as it is beside the parsed columns.
+LINE = "_line"
+LINE_FIELD = StructField(LINE, StringType())
+
 # Envelope of a change record; the payload columns follow.
 CHANGE_ENVELOPE = record(
     _metadata_table="string", _op="string", _ts="timestamp", _seq="long"

@@ -45,8 +45,18 @@ def staging_name_of(marker_path: str) -> str:
     return marker_path.removesuffix("/" + MARKER).replace("/", "_").replace("-", "_")
 
 
+def upload_name(marker_path: str) -> str:
+    """``customer/entity/yyyy-MM-dd`` of a marker's path, whatever stands before it."""
+    return "/".join(marker_path.split("/")[-4:-1])
+
+
+def relative_marker(path: Column) -> Column:
+    """``customer/entity/yyyy-MM-dd/end_file.txt`` of a marker's path or URI."""
+    return F.regexp_extract(path, rf"([^/]+/[^/]+/[^/]+/{MARKER})$", 1)
+
+
 def zone_path(root: str, zone: str, customer: str, entity: str) -> str:
-    """``{root}/{zone}/{customer}/{entity}``; the day is a partition, not a folder."""
+    """``{root}/{zone}/{customer}/{entity}``; upload and day are partitions below it."""
     if zone not in ZONES:
         raise ValueError(f"unknown zone {zone!r}")
     return f"{root.rstrip('/')}/{zone}/{customer}/{entity}"

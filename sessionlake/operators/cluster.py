@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import FeatureHasher, StandardScaler, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +16,10 @@ from sessionlake.operators.nested import explode_hits, flatten
 HIT_FIELDS = ["dataSource", "page.pagePath", "page.hostname", "page.pageTitle"]
 NUMERIC_FEATURES = ["body_visitNumber", "body_visitStartTime", "body_date", "body_totals_visits"]
 
+#: Features that all categories are hashed to, and passes of a fit.
+HASH_SIZE = 1 << 14
+MAX_ITER = 20
+
 
 def features(
     raw: DataFrame, start: dt.date | None = None, end: dt.date | None = None, columns: list[str] = FEATURES
@@ -37,28 +41,37 @@ def features(
     return flatten(hits, prefix="body_").select(*columns)
 
 
-def fit_clusters(df: DataFrame, k: int = 4, seed: int = 1, hash_size: int = 1 << 14) -> PipelineModel:
-    """Scaled numbers plus hashed categories into k clusters.
+def fit_clusters(
+    df: DataFrame, k: int = 4, seed: int = 1, hash_size: int = HASH_SIZE, max_iter: int = MAX_ITER
+) -> PipelineModel:
+    """Scaled numbers plus hashed categories into k clusters, over all rows.
 
-    Categories are hashed, not indexed: an index of page paths or cities would
-    have to be collected and would grow with the data.
+    Categories are hashed to ``hash_size`` features, not indexed: an index of
+    page paths or cities would have to be collected and would grow with the
+    data; values that share a feature count as one. A missing number is the
+    mean of the others, or 0 if there are none. The fit passes over the rows ``max_iter`` times at most.
     """
     categories = [c for c in df.columns if c not in NUMERIC_FEATURES]
+    filled = [f"{c}_filled" for c in NUMERIC_FEATURES]
+    rows = prepare(df)
+    means = rows.agg(*[F.avg(c).alias(c) for c in NUMERIC_FEATURES]).first()
+    made = ", ".join(f"coalesce({c}, {means[c] or 0.0!r}D) AS {c}_filled" for c in NUMERIC_FEATURES)
     stages = [
-        VectorAssembler(inputCols=NUMERIC_FEATURES, outputCol="numbers"),
+        SQLTransformer(statement=f"SELECT *, {made} FROM __THIS__"),
+        VectorAssembler(inputCols=filled, outputCol="numbers"),
         StandardScaler(inputCol="numbers", outputCol="scaled", withMean=True),
         FeatureHasher(inputCols=categories, outputCol="categories", numFeatures=hash_size),
         VectorAssembler(inputCols=["scaled", "categories"], outputCol="features"),
-        KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster"),
+        KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features", predictionCol="cluster"),
     ]
-    return Pipeline(stages=stages).fit(prepare(df))
+    return Pipeline(stages=stages).fit(rows)
 
 
 def prepare(df: DataFrame) -> DataFrame:
-    """Numbers as doubles with 0 for NULL, categories as text with an empty NULL."""
+    """Numbers as doubles, categories as text with an empty NULL."""
     return df.select(
         [
-            F.coalesce(F.col(c).try_cast("double"), F.lit(0.0)).alias(c)
+            F.col(c).try_cast("double").alias(c)
             if c in NUMERIC_FEATURES
             else F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
             for c in df.columns

@@ -96,6 +96,19 @@ def renest(
     )
 
 
+#: What a NULL key is taken for while rows are matched, beside a mark that it was NULL.
+_FILL = {"string": "", "date": "1970-01-01", "boolean": "false"}
+
+
+def _with_filled(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` with keys that are never NULL, so that a plain join matches NULL with NULL."""
+    for k in keys:
+        kind = df.schema[k].dataType.simpleString()
+        fill = F.lit(_FILL.get(kind, "1970-01-01" if kind.startswith("timestamp") else "0")).cast(kind)
+        df = df.withColumns({f"_null_{k}": F.col(k).isNull(), k: F.coalesce(F.col(k), fill)})
+    return df
+
+
 def nest(
     roots: DataFrame,
     items: DataFrame,
@@ -106,27 +119,35 @@ def nest(
     spread_by: list[str],
     part_items: int = PART_ITEMS,
 ) -> DataFrame:
-    """Attach the items of each root row to it as an array; keys are not NULL.
+    """Attach the items of each root row to it as an array; a NULL key matches NULL.
 
-    ``n_items`` is the number of items of the key, over all its parts.
+    ``n_items`` is the number of items of the key, over all its parts. Items
+    whose key no root has belong to no row; make roots for them first.
 
     Both sides are hashed on (keys, part), so the join reuses the shuffle of
     the grouping and a hot key is spread on both sides.
     """
-    hot = hot_keys(items, keys, part_items)
-    arrays = renest(items, keys, item, out, order_by, spread_by, hot=hot)
-    joined = expand_parts(roots, hot, keys).join(arrays, [*keys, PART], "left")
+    roots, items = _with_filled(roots, keys), _with_filled(items, keys)
+    marks = [f"_null_{k}" for k in keys]
+    all_keys = [*keys, *marks]
+    hot = hot_keys(items, all_keys, part_items)
+    arrays = renest(items, all_keys, item, out, order_by, spread_by, hot=hot)
+    joined = expand_parts(roots, hot, all_keys).join(arrays, [*all_keys, PART], "left")
     size = F.when(F.col(out).isNull(), 0).otherwise(F.size(out))
-    return joined.withColumn("n_items", F.coalesce("_n", size).cast("bigint")).drop("_n")
+    joined = joined.withColumn("n_items", F.coalesce("_n", size).cast("bigint"))
+    restored = {k: F.when(~F.col(f"_null_{k}"), F.col(k)) for k in keys}
+    return joined.withColumns(restored).drop("_n", *marks)
 
 
 def rejoin(sessions: DataFrame, spread_by: list[str], part_items: int = PART_ITEMS) -> DataFrame:
     """Explode the hits, group them by session key and join them to the sessions.
 
-    The inner-join shape: sessions without hits or with a NULL in the key drop
-    out, copies of a session give one row (the greatest) with the hits of all
-    copies. ``spread_by`` identifies the row a hit came from. The default path
-    of the library keeps hits in place instead and needs none of this.
+    The inner-join shape: sessions whose key has no hit, or a NULL, drop out.
+    Every copy of a session keeps its row; the hits of all copies are with the
+    first of them (the least ``spread_by``), and the others have none, so
+    nothing is doubled. ``spread_by`` identifies the row a hit came from. The
+    default path of the library keeps hits in place instead and needs none of
+    this.
     """
     kept = sessions.dropna(subset=SESSION_KEY)
     hits = kept.select(
@@ -139,9 +160,12 @@ def rejoin(sessions: DataFrame, spread_by: list[str], part_items: int = PART_ITE
     )
     drop = {*SESSION_KEY, *spread_by, "hits", PART}
     rest = [c for c in sessions.columns if c not in drop]
-    roots = kept.groupBy(*SESSION_KEY).agg(F.max(F.struct(*rest)).alias("_root"))
-    return (
-        expand_parts(roots, hot, SESSION_KEY)
-        .join(arrays, [*SESSION_KEY, PART], "inner")
-        .select(*SESSION_KEY, PART, "_root.*", "hits")
+    own = F.struct(*spread_by)
+    first = kept.groupBy(*SESSION_KEY).agg(
+        F.min(own).alias("_first"), F.bool_or(F.coalesce(F.size("hits") > 0, F.lit(False))).alias("_any")
     )
+    roots = kept.join(first.filter("_any"), SESSION_KEY).select(*SESSION_KEY, *rest, (own == F.col("_first")).alias("_is_first"))
+    with_hits = expand_parts(roots.filter("_is_first"), hot, SESSION_KEY).join(arrays, [*SESSION_KEY, PART], "inner")
+    none = F.array().cast(sessions.schema["hits"].dataType)
+    others = roots.filter("NOT _is_first").select(*SESSION_KEY, F.lit(0).alias(PART), *rest, none.alias("hits"))
+    return with_hits.select(*SESSION_KEY, PART, *rest, "hits").unionByName(others)

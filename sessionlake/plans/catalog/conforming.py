@@ -340,14 +340,14 @@ def struct_unpack(spark: SparkSession, sf_dir: str) -> DataFrame:
            CAST(l_linenumber AS VARCHAR) AS "body_hits_hitNumber",
            '/' || l_suppkey AS "body_hits_page_pagePath",
            CAST({CENTS} AS VARCHAR) AS "body_hits_transaction_transactionRevenue"
-    FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+    FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey
     LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
     """,
 )
 def flatten_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One flat row per hit with prefixed column names."""
+    """One flat row per hit with prefixed column names; sessions without hits have one."""
     leaves = ["hitNumber", "page.pagePath", "transaction.transactionRevenue"]
-    hits = explode_hits(bronze(spark, sf_dir), outer=False, fields=leaves)
+    hits = explode_hits(bronze(spark, sf_dir), fields=leaves)
     flat = flatten(hits, prefix="body_")
     return flat.select(
         "body_visitId", "body_geoNetwork_country", "body_hits_hitNumber",
@@ -358,20 +358,20 @@ def flatten_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "unwrap_list",
     f"""
-    SELECT l_orderkey AS visit_id, count(*) AS n_hits, CAST(sum({CENTS}) AS BIGINT) AS revenue
-    FROM lineitem GROUP BY 1
+    SELECT o_orderkey AS visit_id, count(l_orderkey) AS n_hits, CAST(coalesce(sum({CENTS}), 0) AS BIGINT) AS revenue
+    FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1
     """,
 )
 def unwrap_list_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits in the ``list[].element`` layout of other writers."""
-    sessions = gold(spark, sf_dir).filter(F.col("hits").isNotNull())
+    sessions = gold(spark, sf_dir)
     wrapped = F.struct(F.transform("hits", lambda h: F.struct(h.alias("element"))).alias("list"))
     plain = sessions.select("visitId", wrapped.alias("hits")).select(
         "visitId", unwrap_list(F.col("hits")).alias("hits")
     )
     return plain.groupBy(F.col("visitId").alias("visit_id")).agg(
-        F.sum(F.size("hits")).cast("bigint").alias("n_hits"),
-        F.sum(total("hits.transaction.transactionRevenue")).alias("revenue"),
+        F.coalesce(F.sum(F.when(F.col("hits").isNotNull(), F.size("hits"))), F.lit(0)).cast("bigint").alias("n_hits"),
+        F.coalesce(F.sum(total("hits.transaction.transactionRevenue")), F.lit(0)).cast("bigint").alias("revenue"),
     )
 
 

@@ -132,6 +132,25 @@ def shard_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "shard_range_drift",
+    """
+    SELECT event_id, CASE WHEN CAST(ts AS DATE) >= DATE '2024-01-16' THEN props END AS props,
+           CASE WHEN CAST(ts AS DATE) < DATE '2024-01-16' THEN event_type END AS event_type
+    FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'
+    """,
+)
+def shard_range_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range of shards of which the early ones lack ``props`` and the others ``event_type``."""
+    path = scratch(spark, "shards")
+    shards = table(spark, sf_dir, "events").withColumn("shard_date", F.to_date("ts"))
+    early = F.col("shard_date") < F.lit("2024-01-16").cast("date")
+    write_zone(shards.filter(early).select("event_id", "event_type", "shard_date"), path, by=["shard_date"])
+    write_zone(shards.filter(~early).select("event_id", "props", "shard_date"), path, by=["shard_date"])
+    days = read_shards(spark, path, dt.date(2024, 1, 5), dt.date(2024, 1, 25))
+    return days.select("event_id", "props", "event_type")
+
+
 @query(
     "shard_union",
     """

@@ -8,21 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sessionlake.contracts import GOLD, PART, PART_FIELD, RAW, SESSION_KEY
+from sessionlake.contracts import GOLD, LINE, PART, PART_FIELD, RAW, SESSION_KEY
 from sessionlake.operators.audit import row_count
 from sessionlake.plans.adapt import event_sessions, table
-from sessionlake.plans.batch import Refined, publish_upload, refine
+from sessionlake.plans.batch import Refined, publish_upload, refine, run_upload
 from sessionlake.plans.catalog.conforming import total
 from sessionlake.plans.catalog.registry import query
 from sessionlake.plans.semantic import Tile
-from sessionlake.sources.files import export_ndjson
-from sessionlake.sources.uploads import has_partition, next_date, pending_dates, ready_uploads
+from sessionlake.sources.files import export_ndjson, list_files
+from sessionlake.sources.uploads import next_date, pending_dates, present_days, ready_uploads
 from sessionlake.sources.warehouse import create_database, create_table, load_parquet
 from sessionlake.streaming.uploads import notification_stream, ready_stream, start_ready_log
-from sessionlake.workspace import fingerprint, scratch
+from sessionlake.workspace import fingerprint, materialize, scratch
 
 RAW_PARTS = StructType([*RAW.fields, PART_FIELD])
-FINAL = StructType([*GOLD.fields, PART_FIELD])
 UPLOAD = "customer01/events/2024-01-31/end_file.txt"
 
 _refined: dict[tuple[str, ...], Refined] = {}
@@ -145,8 +144,37 @@ def zone_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def publish_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Create the final table, publish the same upload twice, and find it there once."""
-    final = published(spark, sf_dir)
-    return spark.table(final).groupBy(F.col("date").cast("string").alias("date")).agg(
+    return per_day(spark.table(published(spark, sf_dir)))
+
+
+def new_table(spark: SparkSession, prefix: str) -> str:
+    """A new database with an empty final table; the database's name."""
+    location = scratch(spark, "warehouse")
+    database = prefix + location.rpartition("-")[2]
+    create_database(spark, database, location)
+    create_table(
+        spark, f"`{database}`.sessions", GOLD, "date", "Sessions by day", ("team", "analytics")
+    )
+    return database
+
+
+_published: dict[tuple[str, ...], str] = {}
+
+
+def published(spark: SparkSession, sf_dir: str) -> str:
+    """The final table with the upload published twice; made once while the events stay the same."""
+    key = (spark.sparkContext.applicationId, sf_dir, fingerprint(spark, f"{sf_dir}/events.parquet"))
+    if key not in _published:
+        database = new_table(spark, "wh_")
+        for _ in range(2):
+            publish_upload(spark, refined(spark, sf_dir), UPLOAD, database, "sessions")
+        _published[key] = f"`{database}`.sessions"
+    return _published[key]
+
+
+def per_day(final: DataFrame) -> DataFrame:
+    """Sessions, hits and revenue of each day."""
+    return final.groupBy(F.col("date").cast("string").alias("date")).agg(
         F.count_if(F.col(PART) == 0).alias("sessions"),
         F.sum(F.size("hits.hitNumber")).cast("bigint").alias("hits"),
         F.coalesce(
@@ -155,18 +183,74 @@ def publish_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def published(spark: SparkSession, sf_dir: str) -> str:
-    """A new database with the final table, the upload published twice."""
-    location = scratch(spark, "warehouse")
-    database = "wh_" + location.rpartition("-")[2]
-    create_database(spark, database, location)
-    create_table(
-        spark, f"`{database}`.sessions", FINAL, "date", "Sessions by day", ("team", "analytics")
+PER_DAY = f"""
+    SELECT CAST(d AS VARCHAR) AS "date", count(*) AS sessions, CAST(sum(n_hits) AS BIGINT) AS hits,
+           CAST(sum(revenue) AS BIGINT) AS revenue
+    FROM ({EVENT_SESSIONS}) {{where}} GROUP BY 1
+"""
+
+
+def uploaded(spark: SparkSession, sf_dir: str, uploads: list[tuple[str, str]]) -> DataFrame:
+    """The final table after the whole flow for each (marker, condition on raw sessions)."""
+    root, database = scratch(spark, "uploads"), new_table(spark, "up_")
+    sessions = materialize(event_sessions(spark, sf_dir), "event_sessions")
+    for n, (marker, condition) in enumerate(uploads):
+        folder = f"{root}/in{n}/{marker.rpartition('/')[0]}"
+        export_ndjson(sessions.filter(condition), folder, gzip=True)
+        run_upload(spark, f"{root}/in{n}", f"{root}/lake", marker, database, "sessions", RAW_PARTS)
+    return spark.table(f"`{database}`.sessions")
+
+
+@query("publish_two_customers", PER_DAY.format(where=""))
+def publish_two_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two customers with sessions of the same days in one table."""
+    return per_day(uploaded(spark, sf_dir, [
+        ("customer01/events/2024-01-31/end_file.txt", "CAST(visitId AS bigint) % 3 = 0"),
+        ("customer02/events/2024-01-31/end_file.txt", "CAST(visitId AS bigint) % 3 <> 0"),
+    ]))
+
+
+@query("publish_late_sessions", PER_DAY.format(where=""))
+def publish_late_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later uploads that hold sessions of days which earlier ones brought."""
+    late = "CAST(visitId AS bigint) % 5 = 0"
+    return per_day(uploaded(spark, sf_dir, [
+        ("customer01/events/2024-01-15/end_file.txt", f"date <= '20240115' AND NOT {late}"),
+        ("customer01/events/2024-01-16/end_file.txt", f"date > '20240115' OR {late}"),
+    ]))
+
+
+@query("publish_rerun_fewer_days", PER_DAY.format(where="WHERE d > DATE '2024-01-10'"))
+def publish_rerun_fewer_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An upload run again without some of its days: those are gone, from zones and table."""
+    return per_day(uploaded(spark, sf_dir, [
+        ("customer01/events/2024-01-31/end_file.txt", "true"),
+        ("customer01/events/2024-01-31/end_file.txt", "date > '20240110'"),
+    ]))
+
+
+@query(
+    "silver_as_is",
+    """
+    SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS "date", count(*) AS n, CAST(sum(user_id) AS BIGINT) AS users,
+           count(DISTINCT event_type) AS types
+    FROM events GROUP BY 1
+    """,
+)
+def silver_as_is(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as session lines with fields that the schema does not have, counted in silver."""
+    root, database = scratch(spark, "as_is"), new_table(spark, "as_")
+    events = table(spark, sf_dir, "events").select(
+        F.date_format("ts", "yyyyMMdd").alias("date"), F.struct("user_id", "event_type").alias("unforeseen")
+    )
+    marker = "customer01/lines/2024-01-31/end_file.txt"
+    export_ndjson(events, f"{root}/in/{marker.rpartition('/')[0]}")
+    done = run_upload(spark, f"{root}/in", f"{root}/lake", marker, database, "sessions")
+    silver = done.zone(spark, "silver")
+    field = F.from_json(LINE, "unforeseen struct<user_id: bigint, event_type: string>")["unforeseen"]
+    return silver.groupBy(F.col("date").cast("string").alias("date")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(field["user_id"]).alias("users"), F.count_distinct(field["event_type"]).alias("types")
     )
-    upload = refined(spark, sf_dir)
-    for _ in range(2):
-        publish_upload(spark, upload, UPLOAD, database, "sessions")
-    return f"`{database}`.sessions"
 
 
 @query(
@@ -197,13 +281,14 @@ def publish_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def load_parquet_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The Parquet files of the gold zone loaded straight into a table."""
-    location = scratch(spark, "load")
-    database = "ld_" + location.rpartition("-")[2]
-    create_database(spark, database, location)
-    create_table(spark, f"`{database}`.sessions", FINAL)
-    load_parquet(spark, refined(spark, sf_dir).gold, f"`{database}`.sessions")
-    final = spark.table(f"`{database}`.sessions")
+    """Parquet files with sessions of the same days loaded straight into a table."""
+    name, gold = f"`{new_table(spark, 'ld_')}`.sessions", refined(spark, sf_dir).path("gold")
+    # two files of the same days, one of them loaded twice
+    for n, condition in ((0, "visitId % 2 = 0"), (1, "visitId % 2 = 1"), (1, "visitId % 2 = 1")):
+        part = f"{scratch(spark, 'files')}/{n}"
+        spark.read.parquet(gold).filter(condition).write.parquet(part)
+        load_parquet(spark, part, name, f"file {n}")
+    final = spark.table(name)
     return final.groupBy(
         F.col("visitId").cast("string").alias("visit_id"), F.col("date").cast("string").alias("date")
     ).agg(F.sum(F.size("hits.hitNumber")).cast("bigint").alias("n_hits"))
@@ -224,6 +309,30 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return data.union(markers)
 
 
+@query(
+    "listed_uploads",
+    """
+    SELECT event_type AS customer, CAST(d AS VARCHAR) AS upload_date
+    FROM (SELECT DISTINCT event_type, CAST(ts AS DATE) AS d FROM events) WHERE day(d) % 2 = 0
+    """,
+)
+def listed_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Real files of a folder per event type and day, of which the even days have an end marker."""
+    root = scratch(spark, "listed")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", F.to_date("ts").alias("d"))
+    days = events.hint("rebalance", "event_type", "d")
+    days.write.partitionBy("event_type", "d").json(f"{root}/data")
+    marks = events.filter(F.dayofmonth("d") % 2 == 0).select("event_type", "d").distinct()
+    marks.withColumn("value", F.lit("DONE")).coalesce(1).write.partitionBy("event_type", "d").text(f"{root}/marks")
+    name = F.regexp_extract("path", "event_type=([^/]+)/d=([^/]+)/", 1)
+    day = F.regexp_extract("path", "event_type=([^/]+)/d=([^/]+)/", 2)
+    # a partitioned write names its files itself: a text file stands for the marker
+    file = F.when(F.col("path").contains("/marks/"), "end_file.txt").otherwise("data.json")
+    files = list_files(spark, f"{root}/data", "*.json").unionByName(list_files(spark, f"{root}/marks", "*.txt"))
+    ready = ready_uploads(files.select(F.concat_ws("/", name, F.lit("events"), day, file).alias("path")))
+    return ready.select("customer", F.col("upload_date").cast("string").alias("upload_date"))
+
+
 READY = """
     SELECT 'customer01/orders/' || strftime(d, '%Y-%m-%d') AS folder, 'customer01' AS customer,
            'orders' AS entity, CAST(d AS VARCHAR) AS upload_date{more}
@@ -291,8 +400,8 @@ def has_partition_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether the gold zone has sessions of a day."""
     zone = refined(spark, sf_dir).zone(spark, "gold")
     days = [dt.date(2023, 12, 31), dt.date(2024, 1, 1), dt.date(2024, 1, 30), dt.date(2024, 3, 1)]
-    found = [(str(d), has_partition(zone, d)) for d in days]
-    return spark.createDataFrame(found, "date string, present boolean")
+    found = present_days(zone, spark.createDataFrame([(d,) for d in days], "date date"))
+    return found.select(F.col("date").cast("string").alias("date"), "present")
 
 
 @query(

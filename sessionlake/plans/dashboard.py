@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sessionlake.plans.semantic import Tile
+from sessionlake.plans.semantic import Not, Tile
 
 # Row limits and highlight thresholds of the tiles.
 CITY_LIMIT = 10
@@ -27,7 +27,7 @@ def top_countries(without: str = "United States", month: str = "June") -> Tile:
     return Tile(
         by=["geo_network.country"],
         limit=COUNTRY_LIMIT,
-        filters={"date.month_name": month, "geo_network.country": f"-{without}"},
+        filters={"date.month_name": month, "geo_network.country": Not(without)},
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,6 +13,7 @@ from pyspark.sql.types import ArrayType, StructType
 
 from sessionlake.contracts import GOLD, PART, SESSION_KEY
 from sessionlake.functions.dates import date_group, month_number
+from sessionlake.workspace import materialize
 
 
 def snake(name: str) -> str:
@@ -66,12 +67,20 @@ def is_hit_level(ref: str) -> bool:
     return ref.startswith("hits")
 
 
-def predicate(ref: str, value: object, columns: list[str], keep_null: bool = True) -> Column:
-    """The session filter ``ref = value``. Text with a leading minus means "is not".
+@dataclass(frozen=True)
+class Not:
+    """A filter value: all but ``value``. NULLs stay unless ``keep_null`` is off."""
+
+    value: object
+    keep_null: bool = True
+
+
+def predicate(ref: str, value: object, columns: list[str]) -> Column:
+    """The session filter ``ref = value``, or "is not" for ``Not(value)``.
 
-    "Is not" keeps NULLs unless ``keep_null`` is off. Year and month filters
-    use the partition columns where the sessions have them, else a date range
-    or the month number, so whole partitions drop out of the scan.
+    Year and month filters use the partition columns where the sessions have
+    them, else a date range or the month number, so whole partitions drop out
+    of the scan.
     """
     if ref == "date.year":
         if "year" in columns:
@@ -81,25 +90,32 @@ def predicate(ref: str, value: object, columns: list[str], keep_null: bool = Tru
     if ref == "date.month_name":
         month = F.col("month") if "month" in columns else F.month("date")
         return month == month_number(value)
-    return compare(dimension(ref), value, keep_null)
+    return compare(dimension(ref), value)
 
 
-def compare(c: Column, value: object, keep_null: bool = True) -> Column:
-    if isinstance(value, str) and value.startswith("-"):
-        return ~c.eqNullSafe(value[1:]) if keep_null else c != value[1:]
+def compare(c: Column, value: object) -> Column:
+    if isinstance(value, Not):
+        return ~c.eqNullSafe(value.value) if value.keep_null else c != value.value
     return c == value
 
 
+def _keeps(ref: str, value: object) -> Callable[[Column], Column]:
+    return lambda hit: compare(hit[label(ref)], value)
+
+
 def explore(
     sessions: DataFrame,
     fields: list[str],
     filters: Mapping[str, object] | None = None,
     hidden: Mapping[str, Column] | None = None,
+    distinct: bool = False,
 ) -> DataFrame:
     """The named fields of the sessions, one row per hit if a field is hit-level.
 
     Sessions without hits stay, with NULL hit fields. Session filters run
-    before the hits are exploded. ``hidden`` adds further session columns.
+    before the hits are exploded, hit filters inside the array. ``hidden`` adds
+    further session columns. With ``distinct`` a session has each combination
+    of its hit fields once; that is settled inside its row.
     """
     filters = dict(filters or {})
     hit_refs = [r for r in (*fields, *filters) if is_hit_level(r)]
@@ -114,10 +130,19 @@ def explore(
     # only the leaves in use, so the scan does not read whole hits
     leaves = {label(r): dimension(r) for r in dict.fromkeys(hit_refs)}
     zipped = F.arrays_zip(*[c.alias(n) for n, c in leaves.items()])
-    hits = sessions.select(*session_fields, F.explode_outer(zipped).alias("_hit"))
+    # a session without hits has one of NULLs
+    none = F.transform(F.array(F.lit(0)), lambda _: F.get(zipped, F.lit(-1)))
+    hits = F.when(F.size(zipped) > 0, zipped).otherwise(none)
     for ref, value in filters.items():
-        hits = hits.filter(compare(F.col("_hit")[label(ref)], value))
-    return hits.select(
+        hits = F.filter(hits, _keeps(ref, value))
+    shown = [r for r in dict.fromkeys(fields) if is_hit_level(r)]
+    if distinct:
+        hits = F.array_distinct(
+            F.transform(hits, lambda h: F.named_struct(*[x for r in shown for x in (F.lit(label(r)), h[label(r)])]))
+            if shown else F.transform(hits, lambda _: F.lit(0))
+        )
+    rows = sessions.select(*session_fields, F.explode(hits).alias("_hit"))
+    return rows.select(
         *[F.col("_hit")[label(r)].alias(label(r)) if is_hit_level(r) else label(r) for r in fields],
         *(hidden or {}),
     )
@@ -147,18 +172,36 @@ def count(
 def total_sessions(
     sessions: DataFrame, by: list[str], filters: Mapping[str, object] | None = None
 ) -> DataFrame:
-    """The measure ``sum(visits)``, each session counted once per group however many hits it has."""
+    """The measure ``sum(visits)``, each session counted once per group however many hits it has.
+
+    Hits are made distinct inside the row of their session, so copies and
+    sessions without a key count as they do without hits, and nothing is
+    shuffled by session. Only sessions of several rows are grouped by key.
+    """
     names = [label(r) for r in by]
     value = {"_visits": F.col("totals.visits")}
-    if any(is_hit_level(r) for r in (*by, *(filters or {}))):
-        keys = {f"_{k}": F.col(k) for k in SESSION_KEY}
-        rows = explore(sessions, by, filters, {**value, **keys})
-        rows = rows.groupBy(*names, *keys).agg(F.max("_visits").alias("_visits"))
-    else:
-        rows = explore(sessions, by, filters, value)
+    rows = _visits(sessions, by, filters, value)
     return rows.groupBy(*names).agg(F.sum("_visits").alias("total_sessions"))
 
 
+def _visits(
+    sessions: DataFrame, by: list[str], filters: Mapping[str, object] | None, value: Mapping[str, Column]
+) -> DataFrame:
+    names = [label(r) for r in by]
+    if not any(is_hit_level(r) for r in (*by, *(filters or {}))):
+        return explore(sessions, by, filters, value)
+    if PART not in sessions.columns:
+        return explore(sessions, by, filters, value, distinct=True)
+    split = materialize(sessions.filter(F.col(PART) > 0).select(*SESSION_KEY).distinct(), "split_sessions")
+    if split.isEmpty():
+        return explore(sessions, by, filters, value, distinct=True)
+    whole = explore(sessions.join(split, SESSION_KEY, "left_anti"), by, filters, value, distinct=True)
+    keys = {f"_{k}": F.col(k) for k in SESSION_KEY}
+    parts = explore(sessions.join(split, SESSION_KEY, "left_semi"), by, filters, {**value, **keys}, distinct=True)
+    once = parts.groupBy(*names, *keys).agg(F.max("_visits").alias("_visits"))
+    return whole.unionByName(once.select(*names, "_visits"))
+
+
 MEASURES = {"count": count, "total_sessions": total_sessions}
 
 

@@ -15,14 +15,20 @@ CORRUPT = "_corrupt_record"
 
 
 def read_sessions(
-    spark: SparkSession, path: str, schema: StructType = RAW, pattern: str = "*.json*"
+    spark: SparkSession, path: str, schema: StructType = RAW, pattern: str = "*.json*", line: str | None = None
 ) -> DataFrame:
     """Newline-delimited JSON with a given schema: no pass over the data to infer one.
 
     Absent fields and structs are typed NULLs. A line that is no JSON is kept
     in ``_corrupt_record``. ``.gz`` and ``.gzip`` files are decoded by suffix.
+    With ``line`` the whole line is kept in a column of that name, so fields
+    that the schema does not have are not lost.
     """
     with_corrupt = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    if line is not None:
+        lines = spark.read.option("pathGlobFilter", pattern).text(path).filter(F.trim("value") != "")
+        parsed = F.from_json("value", with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+        return lines.select(parsed.alias("_row"), F.col("value").alias(line)).select("_row.*", line)
     return (
         spark.read.schema(with_corrupt)
         .option("mode", "PERMISSIVE")
@@ -57,10 +63,17 @@ def read_changes(spark: SparkSession, path: str, schema: StructType, fmt: str =
 
 
 def read_shards(
-    spark: SparkSession, base: str, start: dt.date, end: dt.date, shard: str = "shard_date"
+    spark: SparkSession, base: str, start: dt.date, end: dt.date, shard: str = "shard_date",
+    schema: StructType | None = None,
 ) -> DataFrame:
-    """Daily shards ``base/shard_date=.../`` as one range; other days are not listed as tasks."""
-    return spark.read.parquet(base).filter(F.col(shard).between(F.lit(start), F.lit(end)))
+    """Daily shards ``base/shard_date=.../`` as one range; other days are not read.
+
+    Columns may differ between shards: those of ``schema`` are read, or without
+    it those of any shard, for which the footers of all files are looked at.
+    """
+    reader = spark.read.option("mergeSchema", schema is None)
+    reader = reader if schema is None else reader.schema(schema)
+    return reader.parquet(base).filter(F.col(shard).between(F.lit(start), F.lit(end)))
 
 
 def union_shards(shards: list[DataFrame]) -> DataFrame:

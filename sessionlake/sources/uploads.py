@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from sessionlake.contracts import MARKER
 from sessionlake.functions.paths import is_marker, parse_upload_path, upload_folder
 
-MAX_DAY = 30
-
 
 def ready_uploads(files: DataFrame, path: str = "path") -> DataFrame:
     """Folders of a file list that hold the end marker, with their number of data files."""
@@ -41,10 +39,10 @@ def next_date(available: DataFrame, done: DataFrame, column: str = "date") -> Da
     return pending_dates(available, done, column).agg(F.min(column).alias(f"next_{column}"))
 
 
-def next_day(last: dt.date | None, first: dt.date) -> dt.date:
-    """The day after the last uploaded one; a month's cursor stops at day 30."""
+def next_day(last: dt.date | None, first: dt.date, end: dt.date | None = None) -> dt.date:
+    """The day after the last uploaded one, in the range from ``first`` to ``end``."""
     day = first if last is None else last + dt.timedelta(days=1)
-    if (day - first).days >= MAX_DAY:
+    if end is not None and day > end:
         raise ValueError("all days of the range are uploaded; reset the cursor")
     return day
 
@@ -52,3 +50,9 @@ def next_day(last: dt.date | None, first: dt.date) -> dt.date:
 def has_partition(df: DataFrame, day: dt.date, column: str = "date") -> bool:
     """True if any row of that day exists; reads at most one."""
     return not df.filter(F.col(column) == F.lit(day)).select(column).limit(1).isEmpty()
+
+
+def present_days(df: DataFrame, days: DataFrame, column: str = "date") -> DataFrame:
+    """``days`` with ``present``: whether ``df`` has rows of each, in one job."""
+    found = df.select(column).distinct().withColumn("present", F.lit(True))
+    return days.join(found, column, "left").withColumn("present", F.coalesce("present", F.lit(False)))

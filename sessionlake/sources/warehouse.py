@@ -1,13 +1,17 @@
-"""Staging tables and the day-partitioned final table."""
+"""Staging tables and the final table, partitioned by upload and day."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sessionlake.contracts import PART, PART_FIELD, UPLOAD, UPLOAD_FIELD
+
 _MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -16,10 +20,10 @@ def _quoted(text: str) -> str:
 
 
 @contextmanager
-def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """Overwrite only the partitions the new rows fall in."""
+def static_overwrite(spark: SparkSession) -> Iterator[None]:
+    """An overwrite replaces all partitions below the one it names."""
     before = spark.conf.get(_MODE)
-    spark.conf.set(_MODE, "dynamic")
+    spark.conf.set(_MODE, "static")
     try:
         yield
     finally:
@@ -39,12 +43,17 @@ def create_table(
     comment: str = "",
     label: tuple[str, str] | None = None,
 ) -> None:
-    """An empty Parquet table with the contract's columns, partitioned by day."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in contract.fields)
+    """An empty Parquet table with the contract's columns, the part of a session and the upload.
+
+    Partitioned by upload and then by day.
+    """
+    have = contract.fieldNames()
+    fields = [*contract.fields, *[f for f in (PART_FIELD, UPLOAD_FIELD) if f.name not in have]]
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     properties = f" TBLPROPERTIES ({_quoted(label[0])} = {_quoted(label[1])})" if label else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
-        f"PARTITIONED BY (`{partition}`) COMMENT {_quoted(comment)}{properties}"
+        f"PARTITIONED BY (`{UPLOAD}`, `{partition}`) COMMENT {_quoted(comment)}{properties}"
     )
 
 
@@ -54,24 +63,44 @@ def stage(df: DataFrame, table: str) -> DataFrame:
     return df.sparkSession.table(table)
 
 
-def publish(staged: DataFrame, table: str, partition: str = "date", gather: bool = False) -> None:
-    """Move staged rows into the final table, columns matched by name.
+def publish(staged: DataFrame, table: str, upload: str, partition: str = "date", gather: bool = False) -> None:
+    """Put the rows of one upload into the final table, columns matched by name.
 
-    Replaces the days that are staged and leaves the others alone, so
-    publishing an upload twice leaves one copy of it. Rows staged from a zone
-    by day are not shuffled again; ``gather`` does so for other sources.
+    Replaces all rows that ``upload`` brought before, of whatever days, and
+    leaves those of other uploads alone. So an upload published twice is there
+    once, and customers and late sessions of one day stand side by side. Rows
+    staged from a zone by day are not shuffled again; ``gather`` does so for
+    other sources. A table must have a column for the part of a session, or a
+    session of several rows would count more than once.
     """
     spark = staged.sparkSession
-    rows = staged.select(*spark.table(table).columns)
+    columns = spark.table(table).columns
+    if PART not in columns or UPLOAD not in columns:
+        raise ValueError(f"{table} needs the columns {PART} and {UPLOAD}")
+    rows = staged if PART in staged.columns else staged.withColumn(PART, F.lit(0))
+    rows = rows.select(*[c for c in columns if c not in (UPLOAD, partition)], partition)
     if gather:
         rows = rows.hint("rebalance", partition)
-    with dynamic_overwrite(spark):
-        rows.write.insertInto(table, overwrite=True)
+    view = f"staged_{uuid.uuid4().hex}"
+    rows.createOrReplaceTempView(view)
+    try:
+        with static_overwrite(spark):
+            spark.sql(
+                f"INSERT OVERWRITE TABLE {table} PARTITION (`{UPLOAD}` = {_quoted(upload)}, `{partition}`) "
+                f"SELECT * FROM {view}"
+            )
+    finally:
+        spark.catalog.dropTempView(view)
+
 
+def load_parquet(spark: SparkSession, path: str, table: str, upload: str | None = None) -> None:
+    """Load Parquet files of any layout into the final table, as an upload of their own.
 
-def load_parquet(spark: SparkSession, path: str, table: str) -> None:
-    """Load Parquet files of any layout into the final table."""
-    publish(spark.read.parquet(path), table, gather=True)
+    The upload is named by the path unless a name is given; loading it again
+    replaces what it brought. Columns may differ between the files.
+    """
+    rows = spark.read.option("mergeSchema", True).parquet(path)
+    publish(rows.drop(UPLOAD), table, upload or path, gather=True)
 
 
 def unstage(spark: SparkSession, table: str) -> None:

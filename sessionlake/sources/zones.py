@@ -19,9 +19,13 @@ def write_zone(
     gather: bool = True,
     metrics: dict[str, Column] | None = None,
     max_records_per_file: int = 0,
+    whole: bool = False,
 ) -> dict[str, object]:
     """Write partitions and replace those of an earlier run, so a re-run changes nothing.
 
+    Only partitions that the new rows have are replaced; with ``whole`` all
+    that is below ``path`` is, so ``path`` belongs to one writer.
+
     ``gather`` brings the rows of a partition together, so a day gets few files,
     and lets adaptive execution cut a day that is too big for one task. Rows
     that come from a zone of the same layout are gathered already; without it
@@ -35,7 +39,7 @@ def write_zone(
     df, seen = audited(df, f"write {path}", **(metrics or {}))
     (
         df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*by)
         .parquet(path)
@@ -57,11 +61,6 @@ def between(df: DataFrame, start: dt.date | None, end: dt.date | None) -> DataFr
     return df
 
 
-def on_days(df: DataFrame, days: list[dt.date]) -> DataFrame:
-    """The given days, by partition columns only."""
-    return df.filter(_day_number().isin([int(d.strftime("%Y%m%d")) for d in days]))
-
-
 def read_zone(
     spark: SparkSession,
     path: str,
@@ -69,8 +68,11 @@ def read_zone(
     end: dt.date | None = None,
     schema: StructType | None = None,
 ) -> DataFrame:
-    """The days from ``start`` to ``end``; with ``schema`` only its columns and leaves are read."""
-    reader = spark.read.schema(schema) if schema is not None else spark.read
+    """The days from ``start`` to ``end``; with ``schema`` only its columns and leaves are read.
+
+    Without it the columns of all files are read, for which all footers are looked at.
+    """
+    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", True)
     return between(reader.parquet(path), start, end)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sessionlake.contracts import MARKER, record
-from sessionlake.functions.paths import is_marker, parse_upload_path, upload_folder
+from sessionlake.functions.paths import is_marker, parse_upload_path, relative_marker, upload_folder
 
 # The fields of a "file was written" notification that are used.
 NOTIFICATION = record(bucket="string", name="string", timeCreated="string")
@@ -23,16 +23,17 @@ def notification_stream(spark: SparkSession, path: str, max_files: int = 30) ->
 
 
 def ready_stream(notifications: DataFrame) -> DataFrame:
-    """The complete uploads among the notifications: those of an end marker."""
+    """The complete uploads among the notifications: those of an end marker, with its path."""
     name = F.col("name")
     return notifications.filter(is_marker(name)).select(
+        relative_marker(name).alias("path"),
         upload_folder(name).alias("folder"),
         *[c.alias(n) for n, c in parse_upload_path(name).items() if n != "file"],
     )
 
 
 def marker_stream(spark: SparkSession, root: str, max_files: int = 30) -> DataFrame:
-    """The end markers below an ingestion folder, at most ``max_files`` per trigger.
+    """The end markers below an ingestion folder by their path in it, at most ``max_files`` per trigger.
 
     Lists the folder at every trigger. Where the store sends notifications,
     ``notification_stream`` reads those instead.
@@ -43,7 +44,7 @@ def marker_stream(spark: SparkSession, root: str, max_files: int = 30) -> DataFr
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", max_files)
         .text(root)
-        .select(F.col("_metadata.file_path").alias("path"))
+        .select(relative_marker(F.col("_metadata.file_path")).alias("path"))
     )
 
 
@@ -57,7 +58,9 @@ def start_ready_log(ready: DataFrame, path: str, checkpoint: str, once: bool = F
 def start_on_ready(
     markers: DataFrame, handle: Callable[[list[str]], object], checkpoint: str, once: bool = False
 ) -> StreamingQuery:
-    """Call ``handle`` with the marker paths of each trigger.
+    """Call ``handle`` with the marker paths of each trigger, from ``marker_stream`` or ``ready_stream``.
+
+    ``plans.batch.upload_handler`` makes one that runs the batch flow.
 
     A trigger brings at most the stream's ``max_files`` markers, so the list is
     short. A trigger that failed is repeated, so ``handle`` must be idempotent,

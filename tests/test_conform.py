@@ -25,13 +25,13 @@ def test_golden_record(spark, tmp_path, record):
     df = conform(read_sessions(spark, write(tmp_path, record)), GOLD)
     assert meets(df.schema, GOLD)
     row = df.collect()[0]
-    assert row.visitId == 1496305999
+    assert row.visitId == 1496300123
     assert row.date == dt.date(2017, 6, 1)
     assert row.totals.hits == 1 and row.totals.transactions is None
     assert row.trafficSource.isTrueDirect is None
     assert row.device.deviceCategory == "desktop"
-    assert row.geoNetwork.city == "Istanbul"
-    assert row.channelGrouping == "Organic Search"
+    assert row.geoNetwork.city == "Bergen"
+    assert row.channelGrouping == "Direct"
     assert len(row.hits) == 1 and row.hits[0].page.pagePath == "/home"
     leaves = df.select(F.explode("hits").alias("h")).select("h.transaction.*").collect()[0]
     assert len(leaves) == 6 and set(leaves) == {None}
@@ -68,7 +68,7 @@ def test_sessions_without_hits_or_key_are_kept(spark, tmp_path, record):
     keyless["visitId"] = None
     df = conform(read_sessions(spark, write(tmp_path, record, empty, null, keyless)), GOLD)
     sizes = {r.visitId: None if r.hits is None else len(r.hits) for r in df.collect()}
-    assert sizes == {1496305999: 1, 2: 0, 3: None, None: 1}
+    assert sizes == {1496300123: 1, 2: 0, 3: None, None: 1}
 
 
 def test_absent_struct_and_bad_values(spark, tmp_path, record):
@@ -125,8 +125,8 @@ def test_corrupt_lines_are_kept(spark, tmp_path, record):
 
 def test_silver(spark, tmp_path, record):
     row = silver(read_sessions(spark, write(tmp_path, record)), SILVER_TYPES).collect()[0]
-    assert (row.visitId, row.date) == (1496305999, dt.date(2017, 6, 1))
-    assert row.totals.hits == "1" and row.customDimensions[0]["index"] == "4"
+    assert (row.visitId, row.date) == (1496300123, dt.date(2017, 6, 1))
+    assert row.totals.hits == "1" and row.customDimensions[0]["index"] == "2"
 
 
 def test_cast_columns_keeps_the_rest(spark):
@@ -207,6 +207,21 @@ def test_nest_keeps_roots_without_items_and_counts_all_parts(spark):
     assert sorted(i for r in out if r.k == 0 for i in r.ids) == list(range(3000))
 
 
+def test_nest_matches_null_with_null(spark):
+    roots = spark.createDataFrame([(None, "no one", None), (0, "zero", 1.5), (None, "x", 2.5)], "k int, name string, d double")
+    items = spark.createDataFrame([(None, None, 7), (None, None, 8), (0, 1.5, 9), (None, 2.5, 10), (5, 5.5, 11)], "k int, d double, id int")
+    out = nest(roots, items, ["k", "d"], F.col("id"), "ids", F.col("id"), ["id"], part_items=1000).collect()
+    assert {(r.k, r.name, r.d, tuple(r.ids)) for r in out} == {(None, "no one", None, (7, 8)), (0, "zero", 1.5, (9,)), (None, "x", 2.5, (10,))}
+
+
+def test_rejoin_keeps_the_rows_of_copies(spark):
+    row = "1L AS visitNumber, 1L AS visitId, 1L AS visitStartTime, 'u' AS fullVisitorId"
+    hit = "array(named_struct('hitNumber', {n})) AS hits"
+    parts = [f"SELECT {row}, {v} AS revenue, {hit.format(n=v)}, {v} AS _row" for v in (5, 9)]
+    out = rejoin(spark.sql(" UNION ALL ".join(parts)), ["_row"]).collect()
+    assert sorted((r.revenue, len(r.hits)) for r in out) == [(5, 2), (9, 0)]
+
+
 def test_rejoin_equals_the_default_path_for_unique_keys(spark, tmp_path, record):
     second = copy.deepcopy(record) | {"visitId": "2"}
     second["hits"] = [record["hits"][0] | {"hitNumber": n} for n in ("3", "1", "2")]
@@ -215,7 +230,7 @@ def test_rejoin_equals_the_default_path_for_unique_keys(spark, tmp_path, record)
     sessions = conform(read_sessions(spark, write(tmp_path, record, second, nohits, keyless)), GOLD)
     out = rejoin(sessions.withColumn("_row", F.xxhash64("visitId")), ["_row"])
     got = {r.visitId: [h.hitNumber for h in r.hits] for r in out.collect()}
-    assert got == {1496305999: [1], 2: [1, 2, 3]}
+    assert got == {1496300123: [1], 2: [1, 2, 3]}
     expected = sessions.filter("visitId IS NOT NULL AND size(hits) > 0").drop("hits")
     same = out.select(expected.columns)
     assert same.exceptAll(expected).isEmpty() and expected.exceptAll(same).isEmpty()
@@ -225,8 +240,9 @@ def test_rejoin_merges_the_hits_of_copies_once(spark, tmp_path, record):
     sessions = conform(read_sessions(spark, write(tmp_path, record, record)), GOLD)
     numbered = sessions.withColumn("_row", F.monotonically_increasing_id())
     out = rejoin(numbered, ["_row"]).collect()
-    assert len(out) == 1 and len(out[0].hits) == 2
-    assert [out[0][k] for k in SESSION_KEY] == [1, 1496305999, 1496305999, record["fullVisitorId"]]
+    # every copy has its row, the first of them all hits
+    assert sorted(len(r.hits) for r in out) == [0, 2] and {r.part for r in out} == {0}
+    assert [out[0][k] for k in SESSION_KEY] == [1, 1496300123, 1496300123, record["fullVisitorId"]]
 
 
 def test_record_builds_nested_types():

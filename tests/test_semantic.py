@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sessionlake.contracts import GOLD, PART
 from sessionlake.plans import dashboard
 from sessionlake.plans.semantic import (
-    VIEWS, Tile, count, dimension, explore, flag_above, predicate, snake, total_sessions,
+    VIEWS, Not, Tile, count, dimension, explore, flag_above, predicate, snake, total_sessions,
 )
 
 
@@ -79,11 +79,30 @@ def test_sum_is_not_inflated_by_hits(sessions):
     assert values(total_sessions(sessions, ["hits.type"])) == [("EVENT", 2), ("PAGE", 4), (None, 2)]
 
 
+def test_copies_and_sessions_without_key_count_alike_at_any_grain(spark):
+    rows = [session(i, None if i > 2 else "u", hits=[("PAGE", True), ("PAGE", False)]) for i in (1, 1, 2, 3, 4)]
+    df = spark.createDataFrame(rows, GOLD.simpleString().removeprefix("struct<").removesuffix(">") + ", part int")
+    assert values(total_sessions(df, ["date.year"])) == [(2017, 5)]
+    assert values(total_sessions(df, ["hits.type"])) == [("PAGE", 5)]
+    plan = total_sessions(df, ["hits.type"])._jdf.queryExecution().executedPlan().toString()
+    assert "visitStartTime" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
+
+
+def test_hit_filters_work_inside_the_array(sessions):
+    assert values(total_sessions(sessions, ["geo_network.city"], {"hits.type": "PAGE"})) == [("A", 2), ("B", 2)]
+    assert values(total_sessions(sessions, ["geo_network.city"], {"hits.type": Not("PAGE")})) == [("A", 2), ("B", 2)]
+    assert values(count(sessions, ["hits.type"], {"hits.is_entrance": False})) == [("EVENT", 1), ("PAGE", 1)]
+
+
 def test_not_equal_keeps_null_unless_told(sessions):
     tile = dashboard.top_countries()
     assert values(tile.rows(sessions)) == [("Turkey", 1), (None, 1)]
-    strict = sessions.filter(predicate("geo_network.country", "-United States", [], keep_null=False))
+    strict = sessions.filter(predicate("geo_network.country", Not("United States", keep_null=False), []))
     assert strict.filter("geoNetwork.country IS NULL").isEmpty()
+    tile = Tile(by=["geo_network.country"], limit=9, filters={"geo_network.country": Not("United States", keep_null=False)})
+    assert values(tile.rows(sessions)) == [("Turkey", 2)]
+    # a minus is part of the value
+    assert values(count(sessions, ["geo_network.city"], {"geo_network.country": "-United States"})) == []
 
 
 def test_top_cities_and_referrers(sessions):

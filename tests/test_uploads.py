@@ -7,12 +7,12 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from sessionlake.contracts import GOLD
+from sessionlake.contracts import GOLD, LINE
 from sessionlake.plans import dashboard
-from sessionlake.plans.batch import refine, run_upload
+from sessionlake.plans.batch import refine, run_upload, upload_handler
 from sessionlake.sources.files import list_files, read_csv, read_text, union_shards
 from sessionlake.sources.uploads import has_partition, next_date, next_day, pending_dates, ready_uploads
-from sessionlake.sources.warehouse import create_database, create_table, reset_table
+from sessionlake.sources.warehouse import create_database, create_table, load_parquet, publish, reset_table
 from sessionlake.sources.zones import read_day, read_zone, write_zone
 from sessionlake.streaming.uploads import (
     marker_stream, notification_stream, ready_stream, start_on_ready, start_ready_log,
@@ -61,14 +61,14 @@ def test_upload_to_published_table_and_tile(spark, tmp_path, record, table):
     assert [tuple(r) for r in tile] == [("Austin", 1)]
     assert [t.name for t in spark.catalog.listTables(table)] == ["sessions"]
     assert read_day(spark, refined.gold, dt.date(2017, 6, 1)).count() == 3
-    assert refined.zone(spark, "bronze").select("customDimensions").collect()[0][0][0]["index"] == "4"
+    assert refined.zone(spark, "bronze").select("customDimensions").collect()[0][0][0]["index"] == "2"
 
 
 def test_table_definition(spark, table):
     described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}.sessions").collect()}
     assert described["Comment"] == "it's by day" and "team=web" in described["Table Properties"]
     partitions = [c.name for c in spark.catalog.listColumns(f"{table}.sessions") if c.isPartition]
-    assert partitions == ["date"]
+    assert partitions == ["upload", "date"]
 
 
 def test_files_can_be_kept_small(spark, tmp_path):
@@ -88,12 +88,72 @@ def test_second_day_leaves_the_first_alone(spark, tmp_path, record, table):
         run_upload(spark, str(root), lake, f"{folder}/end_file.txt", table, "sessions")
     final = spark.table(f"{table}.sessions")
     assert sorted((str(r.date), r.visitId) for r in final.collect()) == [
-        ("2017-06-01", 1496305999), ("2017-06-02", 9),
+        ("2017-06-01", 1496300123), ("2017-06-02", 9),
     ]
     reset_table(spark, f"{table}.sessions")
     assert spark.table(f"{table}.sessions").count() == 0
 
 
+def test_customers_and_late_sessions_stand_side_by_side(spark, tmp_path, record, table):
+    root, lake = tmp_path / "in", str(tmp_path / "lake")
+    other, late = DAY_ONE.replace("customer01", "customer02"), DAY_ONE.replace("06-01", "06-02")
+    upload(root, DAY_ONE, *[record | {"visitId": str(i)} for i in range(5)])
+    upload(root, other, record | {"visitId": "50"})
+    upload(root, late, record | {"visitId": "60"}, record | {"visitId": "61", "date": "20170602"})
+    for folder in (DAY_ONE, other, late, other):
+        refined = run_upload(spark, str(root), lake, f"{folder}/end_file.txt", table, "sessions")
+    final = spark.table(f"{table}.sessions")
+    assert sorted(r.visitId for r in final.filter("date = DATE'2017-06-01'").collect()) == [0, 1, 2, 3, 4, 50, 60]
+    assert refined.gold.endswith("gold/customer02/sessions")
+    for zone in ("bronze", "silver", "gold"):
+        assert spark.read.parquet(f"{lake}/{zone}/customer01/sessions").count() == 7
+    # run again without a day, and then without a valid row
+    for path in (root / late).iterdir():
+        path.write_text(json.dumps(record | {"visitId": "62", "date": "20170602"}) + "\n")
+    run_upload(spark, str(root), lake, f"{late}/end_file.txt", table, "sessions")
+    assert sorted(r.visitId for r in spark.table(f"{table}.sessions").collect()) == [0, 1, 2, 3, 4, 50, 62]
+    upload(root, late, "{broken", marker=False)
+    assert run_upload(spark, str(root), lake, f"{late}/end_file.txt", table, "sessions").counts["rejected"] == 1
+    assert sorted(r.visitId for r in spark.table(f"{table}.sessions").collect()) == [0, 1, 2, 3, 4, 50]
+    assert spark.read.parquet(f"{lake}/gold/customer01/sessions").count() == 5
+
+
+def test_letters_of_an_earlier_run_go(spark, tmp_path, record):
+    upload(tmp_path / "in", DAY_ONE, record, "{broken")
+    args = (spark, str(tmp_path / "in" / DAY_ONE), str(tmp_path / "lake"), "c", "e", "2017-06-01")
+    assert exists(spark, refine(*args).rejected)
+    upload(tmp_path / "in", DAY_ONE, record)
+    done = refine(*args)
+    assert done.counts["rejected"] == 0 and not exists(spark, done.rejected)
+
+
+def test_every_field_of_a_line_survives_to_silver(spark, tmp_path, record):
+    full = record | {"unforeseen": {"deep": [{"a": 1}, {"b": "x"}]}, "device": record["device"] | {"language": "tr"}}
+    full["hits"] = [record["hits"][0] | {"social": {"network": "n"}, "customDimensions": [{"index": "1", "value": "v"}]}]
+    upload(tmp_path / "in", DAY_ONE, full)
+    done = refine(spark, str(tmp_path / "in" / DAY_ONE), str(tmp_path / "lake"), "c", "e", "2017-06-01")
+    for zone in ("bronze", "silver"):
+        assert json.loads(done.zone(spark, zone).collect()[0][LINE]) == full
+    assert LINE not in done.zone(spark, "gold").columns
+
+
+def test_publishing_needs_the_part_of_a_session(spark, tmp_path, table):
+    spark.sql(f"CREATE TABLE {table}.bare (visitId bigint, upload string, date date) USING parquet PARTITIONED BY (upload, date)")
+    with pytest.raises(ValueError, match="part"):
+        publish(spark.sql("SELECT 1L AS visitId, 0 AS part, DATE'2017-06-01' AS date"), f"{table}.bare", "u")
+
+
+def test_loaded_files_of_one_day_add_up(spark, tmp_path, record, table):
+    empty = spark.table(f"{table}.sessions")
+    for n in (1, 2):
+        row = spark.createDataFrame([(n, dt.date(2017, 6, 1))], "visitId long, date date")
+        both = empty.drop("visitId", "date").unionByName(row, allowMissingColumns=True).withColumn("part", F.lit(0))
+        both.write.parquet(str(tmp_path / f"f{n}"))
+    for n in (1, 2, 2):
+        load_parquet(spark, str(tmp_path / f"f{n}"), f"{table}.sessions")
+    assert sorted(r.visitId for r in spark.table(f"{table}.sessions").collect()) == [1, 2]
+
+
 def test_days_between_those_of_an_upload_are_left_alone(spark, tmp_path, record):
     lake = str(tmp_path / "lake")
     for folder, dates in (("a", ["20170602"]), ("b", ["20170601", "20170603"])):
@@ -149,9 +209,24 @@ def test_marker_stream_starts_the_flow_once_per_upload(spark, tmp_path, record):
     run()
     upload(root, DAY_ONE.replace("06-01", "06-03"), record)
     run()
-    assert [c.split("customer01/")[1] for c in calls] == [
-        "sessions/2017-06-01/end_file.txt", "sessions/2017-06-03/end_file.txt",
-    ]
+    assert calls == [f"{DAY_ONE}/end_file.txt", f"{DAY_ONE.replace('06-01', '06-03')}/end_file.txt"]
+
+
+@pytest.mark.parametrize("kind", ["markers", "notifications"])
+def test_from_marker_file_to_published_table(spark, tmp_path, record, table, kind):
+    root = tmp_path / "in"
+    for day in ("01", "02"):
+        upload(root, DAY_ONE.replace("06-01", f"06-{day}"), record | {"visitId": day, "date": f"201706{day}"})
+    if kind == "markers":
+        stream = marker_stream(spark, str(root))
+    else:
+        (tmp_path / "n").mkdir()
+        names = [f"{DAY_ONE}/data_0.json", f"{DAY_ONE}/end_file.txt", f"{DAY_ONE.replace('06-01', '06-02')}/end_file.txt"]
+        (tmp_path / "n" / "a.json").write_text("\n".join(json.dumps({"bucket": "b", "name": n}) for n in names))
+        stream = ready_stream(notification_stream(spark, str(tmp_path / "n")))
+    run = upload_handler(spark, str(root), str(tmp_path / "lake"), table, "sessions")
+    start_on_ready(stream, run, str(tmp_path / "check"), once=True).awaitTermination()
+    assert sorted(r.visitId for r in spark.table(f"{table}.sessions").collect()) == [1, 2]
 
 
 def test_notifications(spark, tmp_path):
@@ -178,8 +253,9 @@ def test_day_cursor():
     first = dt.date(2017, 6, 1)
     assert next_day(None, first) == first
     assert next_day(dt.date(2017, 6, 9), first) == dt.date(2017, 6, 10)
+    assert next_day(dt.date(2017, 6, 30), first) == dt.date(2017, 7, 1)
     with pytest.raises(ValueError):
-        next_day(dt.date(2017, 6, 30), first)
+        next_day(dt.date(2017, 6, 30), first, dt.date(2017, 6, 30))
 
 
 def test_rerun_replaces_only_its_days(spark, tmp_path):
