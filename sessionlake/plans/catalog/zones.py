@@ -346,7 +346,10 @@ def ready_uploads_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ready.withColumn("upload_date", F.col("upload_date").cast("string"))
 
 
-@query("ready_uploads_stream", READY.format(more=""))
+@query(
+    "ready_uploads_stream",
+    READY.format(more=", 'customer01/orders/' || strftime(d, '%Y-%m-%d') || '/end_file.txt' AS path"),
+)
 def ready_uploads_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from a stream of notifications, one per written file."""
     root = scratch(spark, "notifications")
