@@ -19,6 +19,7 @@ from sessionlake.operators.audit import audited
 from sessionlake.operators.cdc import split_valid
 from sessionlake.operators.cluster import features, fit_clusters, prepare
 from sessionlake.operators.conform import conform, silver
+from sessionlake.session import cluster_session
 from sessionlake.sources.files import CORRUPT, read_sessions
 from sessionlake.sources.warehouse import create_table, publish, stage, unstage
 from sessionlake.sources.zones import write_zone
@@ -195,7 +196,7 @@ def assign_clusters(model: PipelineModel, rows: DataFrame) -> DataFrame:
 def main(argv: list[str]) -> None:
     """Job form of ``run_upload``; creates the final table on the first run."""
     ingestion, lake, marker, database, table = argv
-    spark = SparkSession.builder.appName("session upload").getOrCreate()
+    spark = cluster_session("session upload")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     create_table(spark, f"`{database}`.`{table}`", GOLD, "date", "Sessions by day")
     print(run_upload(spark, ingestion, lake, marker, database, table).counts)

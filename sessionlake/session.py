@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# What a cluster session should set for inputs of tens of terabytes. The
+# What a cluster session should set for inputs of tens of terabytes; ``cluster_session`` does. The
 # initial partition number is high because adaptive execution merges small
 # partitions back but never splits a group of an aggregate.
 CLUSTER_SETTINGS = {
@@ -17,7 +17,9 @@ CLUSTER_SETTINGS = {
 }
 
 
-def local_session(cores: int | str = 8, app: str = "sessionlake") -> SparkSession:
+def local_session(
+    cores: int | str = 8, app: str = "sessionlake", more: dict[str, str] | None = None
+) -> SparkSession:
     """Single-machine session for tests and ``bench.py``."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
@@ -29,5 +31,16 @@ def local_session(cores: int | str = 8, app: str = "sessionlake") -> SparkSessio
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config(map=more or {})
         .getOrCreate()
     )
+
+
+def cluster_session(app: str) -> SparkSession:
+    """The session of a submitted job: ``CLUSTER_SETTINGS`` where the submit sets nothing else."""
+    spark = SparkSession.builder.appName(app).getOrCreate()
+    given = dict(spark.sparkContext.getConf().getAll())
+    for key, value in CLUSTER_SETTINGS.items():
+        if key not in given:
+            spark.conf.set(key, value)
+    return spark
