@@ -48,6 +48,15 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
 
 
+def _distinct(lines: DataFrame) -> DataFrame:
+    """(a, b, order, n, keys): first place and number of equal lines, and the keys of their halves; no texts are moved."""
+    keys = F.when(F.length("line") >= MIN_CHARS, _half_keys(F.col("line")))
+    held = lines.select("a", "b", _order().alias("order"), keys.alias("keys")).groupBy("a", "b")
+    return held.agg(F.min("order").alias("first"), F.count(F.lit(1)).alias("n"), F.first("keys").alias("keys")).select(
+        "a", "b", "first.*", "n", "keys"
+    )
+
+
 def _order(prefix: str = "") -> Column:
     return F.struct(*[F.col(f"{prefix}{c}") for c in ORDER])
 
@@ -59,35 +68,51 @@ def _halves(key: Column, rest: Column) -> Column:
     its last n - n // 2; for the longer of the two these are counted from n - 1.
     """
     n = F.length(rest)
-    made = []
-    for h in (F.floor(n / 2), F.floor((n - 1) / 2)):
-        h = h.cast("int")
-        made.append((F.xxhash64(key, F.lit("first"), h, F.left(rest, h)), F.substring(rest, h + 1, n - h)))
-    for s in (F.floor((n + 1) / 2), F.floor(n / 2)):
-        s = s.cast("int")
-        made.append((F.xxhash64(key, F.lit("last"), s, F.right(rest, s)), F.left(rest, n - s)))
+    made = [(k, F.substring(rest, h + 1, n - h)) for k, h in _first_keys(key, rest)]
+    made += [(k, F.left(rest, n - s)) for k, s in _last_keys(key, rest)]
     return F.array_distinct(F.array(*[F.named_struct(F.lit("key"), k, F.lit("rest"), r) for k, r in made]))
 
 
+def _first_keys(key: Column, rest: Column) -> list[tuple[Column, Column]]:
+    n = F.length(rest)
+    sizes = [F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")]
+    return [(F.xxhash64(key, F.lit("first"), h, F.left(rest, h)), h) for h in sizes]
+
+
+def _last_keys(key: Column, rest: Column) -> list[tuple[Column, Column]]:
+    n = F.length(rest)
+    sizes = [F.floor((n + 1) / 2).cast("int"), F.floor(n / 2).cast("int")]
+    return [(F.xxhash64(key, F.lit("last"), s, F.right(rest, s)), s) for s in sizes]
+
+
+def _half_keys(line: Column) -> Column:
+    """The keys of a line's halves alone, in the order of ``_halves``."""
+    pairs = _first_keys(F.lit(0), line) + _last_keys(F.lit(0), line)
+    return F.array_distinct(F.array(*[k for k, _ in pairs]))
+
+
 def _shared(rows: DataFrame) -> DataFrame:
     """Rows whose key belongs to two lines or more."""
     keys = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     return rows.join(keys, "key", "left_semi")
 
 
-def _candidates(distinct: DataFrame) -> DataFrame:
+def _long_candidates(docs: DataFrame, distinct: DataFrame) -> DataFrame:
+    """(a, b, order, ways, line): texts of lines that share a half with another line, and by which of their ways."""
+    keys = distinct.select("a", "b", *ORDER, F.posexplode("keys").alias("way", "key"))
+    ways = _shared(keys).groupBy("a", "b", *ORDER).agg(F.collect_list("way").alias("ways"))
+    wanted = ways.groupBy("d", "t").agg(F.collect_list(F.struct("a", "b", "i", "ways")).alias("wanted"))
+    texts = docs.select(*_document_key(docs), F.split(docs["text"].cast("string"), "\n").alias("lines"))
+    found = texts.join(wanted, ["d", "t"]).select("d", "t", "lines", F.explode("wanted").alias("x"))
+    # rows that repeat give a line more than once
+    return found.select("x.a", "x.b", "d", "t", "x.i", "x.ways", F.get("lines", F.col("x.i")).alias("line")).dropDuplicates(["a", "b"])
+
+
+def _candidates(long: DataFrame) -> DataFrame:
     """(a, b, order, key, rest): lines with a possible partner and the few characters that may differ."""
-    long = distinct.where(F.length("line") >= MIN_CHARS)
-    # the first round is about all lines, so it moves keys without texts
-    first = long.select("a", "b", F.posexplode(_halves(F.lit(0), F.col("line"))).alias("way", "x")).select("a", "b", "way", F.col("x.key").alias("key"))
-    ways = step(_shared(first).groupBy("a", "b").agg(F.collect_list("way").alias("ways")), "halves")
-    rows = step(
-        long.join(ways, ["a", "b"])
-        .select("a", "b", *ORDER, _halves(F.lit(0), F.col("line")).alias("x"), F.explode("ways").alias("way"))
-        .select("a", "b", *ORDER, F.col("x")[F.col("way")].alias("x"))
-        .select("a", "b", *ORDER, "x.key", "x.rest"),
-        "rests",
-    )
+    rows = long.select("a", "b", *ORDER, _halves(F.lit(0), F.col("line")).alias("x"), F.explode("ways").alias("way"))
+    rows = rows.select("a", "b", *ORDER, F.get("x", F.col("way")).alias("x")).select("a", "b", *ORDER, "x.key", "x.rest")
+    rows = step(rows, "rests")
     done = []
     while True:
         # a rest that is one longer may belong to one of these, or go on with others of its length
@@ -105,7 +130,7 @@ def _candidates(distinct: DataFrame) -> DataFrame:
     return out
 
 
-def _near(candidates: DataFrame, distinct: DataFrame) -> DataFrame:
+def _near(candidates: DataFrame, long: DataFrame) -> DataFrame:
     """(a, b) of lines with an earlier line within one edit."""
     rest, n = F.col("rest"), F.length("rest")
     without = F.transform(
@@ -137,8 +162,8 @@ def _near(candidates: DataFrame, distinct: DataFrame) -> DataFrame:
         .select("a", "b", F.col("first.a").alias("a0"), F.col("first.b").alias("b0"))
         .distinct()
     )
-    earlier = distinct.select(F.col("a").alias("a0"), F.col("b").alias("b0"), F.col("line").alias("line0"))
-    verified = pairs.join(distinct.select("a", "b", "line"), ["a", "b"]).join(earlier, ["a0", "b0"])
+    earlier = long.select(F.col("a").alias("a0"), F.col("b").alias("b0"), F.col("line").alias("line0"))
+    verified = pairs.join(long.select("a", "b", "line"), ["a", "b"]).join(earlier, ["a0", "b0"])
     return verified.where(F.levenshtein("line", "line0", MAX_EDITS) >= 0).select("a", "b").distinct()
 
 
@@ -150,19 +175,14 @@ def mark_lines(docs: DataFrame) -> DataFrame:
     occurrence comes earlier than its own. A blank line never goes. Documents
     without doc_id come last.
     """
-    lines = _lines(docs)
-    distinct = step(
-        lines.groupBy("a", "b").agg(F.min(_order()).alias("first"), F.count(F.lit(1)).alias("n"), F.first("line").alias("line")).select(
-            "a", "b", "first.*", "n", "line"
-        ),
-        "lines",
-    )
-    near = step(_near(step(_candidates(distinct), "candidates"), distinct), "near")
+    distinct = step(_distinct(_lines(docs)), "lines")
+    long = step(_long_candidates(docs, distinct), "candidates")
+    near = step(_near(_candidates(long), long), "near")
     first = [F.col(c).alias(f"{c}0") for c in ORDER]
     repeated = distinct.where("n > 1").select("a", "b", *first)
     marked = near.withColumn("near", F.lit(True))
     affected = repeated.join(marked, ["a", "b"], "full").withColumn("near", F.coalesce("near", F.lit(False)))
-    spots = lines.select(*ORDER, "a", "b").join(affected, ["a", "b"])
+    spots = _lines(docs).select(*ORDER, "a", "b").join(affected, ["a", "b"])
     goes = spots.where("near OR struct(d, t, i) <> struct(d0, t0, i0)")
     return goes.groupBy("d", "t").agg(
         F.collect_set(F.when(~F.col("near"), F.col("i"))).alias("copies"), F.collect_set(F.when(F.col("near"), F.col("i"))).alias("near")
