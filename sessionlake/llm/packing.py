@@ -9,23 +9,23 @@ crosses documents.
 from __future__ import annotations
 
 import os
-import sys
-import types
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionlake.llm.arrow import slices
+from sessionlake.llm.arrow import NOT_BLANK, RangeHash, slices, text_bytes, words
 
 #: Longest sequence.
 LIMIT = 2048
 
-#: Words whose ids a worker remembers; it starts anew when they are more.
-WORDS_KEPT = 3 << 19
+#: Words whose ids a task remembers; it starts anew when they are more.
+WORDS_KEPT = 1 << 20
+
+#: Splits of the table that one task reads, so that most words it meets are known to it.
+SPLITS = 4
 
 #: Text bytes that words are gathered from at a time.
 PART_BYTES = 4 << 20
@@ -39,17 +39,12 @@ BETWEEN = "0"
 PIECE = "doc_id long, start long, length long, doc_tokens long, bucket int, ids binary"
 
 
-def piece_lengths(tokens: int, limit: int = LIMIT) -> list[int]:
-    """Binary lengths that add up to ``tokens``, the longest first."""
-    rest = tokens % limit
-    return [limit] * (tokens // limit) + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
-
-
 class WordIds(dict):
     """Ids of words without blanks, as bytes of unsigned 32-bit numbers; each is encoded once.
 
     New words are encoded as one text, with a number between them that none of
-    them has, which the tokenizer sets apart from any word.
+    them has, which the tokenizer sets apart from any word. Words that differ
+    in ASCII case or in a last mark are kept as one.
     """
 
     def __init__(self, path: str) -> None:
@@ -62,20 +57,20 @@ class WordIds(dict):
     def _ids(self, texts: list[str]) -> list[int]:
         return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)[0].ids
 
-    def learn(self, words: set[bytes]) -> None:
+    def learn(self, words: list[bytes]) -> None:
+        """Make the ids of all ``words`` known."""
         if len(self) > WORDS_KEPT:
             self.clear()
-        new = words.difference(self)
+        new = [w for w in words if w not in self]
         # a mark after a letter is a token of its own, and ASCII words are read in lower case
-        derived = {w: w[:-1] for w in new if w[-1] in MARKS and w[-2:-1].isalpha()}
-        new.difference_update(derived)
-        new.update(c for c in derived.values() if c not in self)
-        lower = {w: w.lower() for w in new if w.isascii() and not w.islower() and b"<" not in w}
-        new.difference_update(lower)
-        new.update(w for w in lower.values() if w not in self)
-        self._encode(list(new))
-        self.update((w, self[low]) for w, low in lower.items())
-        self.update((w, self[core] + self.marks[w[-1]]) for w, core in derived.items())
+        marked = {w: w[:-1] for w in new if w[-1] in MARKS and w[-2:-1].isalpha()}
+        plain = {w for w in (marked.get(w, w) for w in new) if w not in self}
+        lower = {w: w.lower() for w in plain if w.isascii() and not w.islower() and b"<" not in w}
+        self._encode([w for w in {lower.get(w, w) for w in plain} if w not in self])
+        for w, low in lower.items():
+            self[w] = self[low]
+        for w, core in marked.items():
+            self[w] = self[core] + self.marks[w[-1]]
 
     def _encode(self, new: list[bytes]) -> None:
         mark = BETWEEN.encode()
@@ -91,12 +86,36 @@ class WordIds(dict):
                 self[w] = np.array(self._ids([w.decode()]), "<u4").tobytes()
 
 
-def _worker_words(path: str) -> WordIds:
-    """The words that this worker process knows; they outlive a task, although functions travel to it by value."""
-    home = sys.modules.setdefault("sessionlake_worker", types.ModuleType("sessionlake_worker"))
-    if path not in home.__dict__:
-        home.__dict__[path] = WordIds(path)
-    return home.__dict__[path]
+def tokens(data: np.ndarray, at: np.ndarray, known: WordIds, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts one after the other, each with its end id, and how many each text has."""
+    starts, ends, text = words(data, at, NOT_BLANK)
+    _, first, number = np.unique(RangeHash(data).of(starts, ends), return_index=True, return_inverse=True)
+    raw = data.tobytes()
+    own = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+    known.learn(own)
+    ids = [known[w] for w in own]
+    size = np.array([len(i) // 4 for i in ids], np.int64)
+    begin = np.cumsum(size) - size
+    pool, length = np.frombuffer(b"".join(ids), "<u4"), size[number]
+    counts = np.bincount(text, length, len(at) - 1).astype(np.int64) + 1
+    out = np.full(counts.sum(), end_id, "<u4")
+    # every word's ids go behind those before it and the end ids of earlier texts
+    place = np.cumsum(length) - length + text
+    step = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+    out[np.repeat(place, length) + step] = pool[np.repeat(begin[number], length) + step]
+    return out, counts
+
+
+def cut(counts: np.ndarray, limit: int = LIMIT) -> tuple[np.ndarray, np.ndarray]:
+    """Text number and length of the pieces of texts with ``counts`` ids, in order, the longest first."""
+    row, size = [np.repeat(np.arange(len(counts)), counts // limit)], [np.full((counts // limit).sum(), limit)]
+    for bit in range(limit.bit_length() - 2, -1, -1):
+        have = np.flatnonzero(counts % limit >> bit & 1)
+        row.append(have)
+        size.append(np.full(len(have), 1 << bit))
+    rows = np.concatenate(row)
+    order = np.argsort(rows, kind="stable")
+    return rows[order], np.concatenate(size)[order]
 
 
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, limit: int = LIMIT) -> DataFrame:
@@ -108,37 +127,33 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, limit: int = LIM
     Rows that repeat are packed each for itself; other columns are not read.
 
     The tokenizer of ``tokenizer_path`` must treat words between ASCII blanks
-    apart from each other and drop the blanks, so that each word is encoded
-    once, and give each digit a token of its own.
-    ``limit`` is a power of two.
+    apart from each other and drop the blanks, lower-case ASCII letters, and
+    give each digit, and each mark after a letter, a token of its own. So each
+    word is encoded once a task. ``limit`` is a power of two.
     """
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        known = _worker_words(tokenizer_path)
+        known = WordIds(tokenizer_path)
         for batch in batches:
             for part in slices(batch, "text", PART_BYTES):
-                texts = [t.split() for t in pc.fill_null(part.column(1), "").cast(pa.binary()).to_pylist()]
-                known.learn(set().union(*texts))
-                yield _pieces(part.column(0).to_pylist(), [b"".join(map(known.__getitem__, t)) + end for t in texts])
-
-    def _pieces(ids: list, tokens: list[bytes]) -> pa.RecordBatch:
-        row, start, length, count, data = [], [], [], [], []
-        for doc_id, t in zip(ids, tokens, strict=True):
-            at, n = 0, len(t) // 4
-            for size in piece_lengths(n, limit):
-                row.append(doc_id)
-                start.append(at)
-                length.append(size)
-                count.append(n)
-                data.append(t[4 * at : 4 * (at + size)])
-                at += size
-        long = pa.int64()
-        columns = [pa.array(row, long), pa.array(start, long), pa.array(length, long), pa.array(count, long), pa.array(length, pa.int32()), pa.array(data, pa.binary())]
+                data, at = text_bytes(part.column("text"))
+                ids, counts = tokens(data, at, known, end_id)
+                yield _pieces(part.column("doc_id"), ids, counts)
+
+    def _pieces(doc_ids: pa.Array, ids: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        row, size = cut(counts, limit)
+        ends = np.cumsum(size)
+        start = ends - size - (np.cumsum(counts) - counts)[row]
+        offsets = np.concatenate([[0], 4 * ends]).astype(np.int32)
+        data = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(ids.tobytes())])
+        columns = [doc_ids.take(pa.array(row)), *map(pa.array, (start, size, counts[row], size.astype(np.int32))), data]
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "doc_tokens", "bucket", "ids"])
 
     named = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return named.mapInArrow(run, PIECE).select(
+    splits, spark = named.rdd.getNumPartitions(), docs.sparkSession
+    tasks = max(2 * spark.sparkContext.defaultParallelism, -(-splits // SPLITS))
+    gathered = named.coalesce(tasks) if tasks < splits else named
+    return gathered.mapInArrow(run, PIECE).select(
         "*", F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
