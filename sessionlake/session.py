@@ -37,7 +37,13 @@ def local_session(
 
 
 def cluster_session(app: str) -> SparkSession:
-    """The session of a submitted job: ``CLUSTER_SETTINGS`` where the submit sets nothing else."""
+    """The session of a submitted job: ``CLUSTER_SETTINGS`` where the submit sets nothing else.
+
+    A session that is there already is used as it is.
+    """
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        return active
     spark = SparkSession.builder.appName(app).getOrCreate()
     given = dict(spark.sparkContext.getConf().getAll())
     for key, value in CLUSTER_SETTINGS.items():
