@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
@@ -266,7 +266,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, max_coverage: float = MAX_COVER
     hit. Texts without hits stay as they are, byte for byte, and NULL stays NULL.
     """
 
-    def hits() -> F.Column:
+    def hits() -> Column:
         return F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
 
     found = search(docs, benchmark).where(hits() <= F.col("n_words") * max_coverage)

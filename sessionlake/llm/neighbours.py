@@ -17,7 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, IntegerType, StructField
 
@@ -129,7 +129,7 @@ def _packed(counts: np.ndarray) -> pa.Array:
     return pa.array([press.compress(c.astype("<f4").tobytes()) for c in counts], pa.binary())
 
 
-def fit_on_labels(docs: DataFrame, labels: DataFrame, may_learn: F.Column) -> Voters | None:
+def fit_on_labels(docs: DataFrame, labels: DataFrame, may_learn: Column) -> Voters | None:
     """Voters from labelled rows of which ``may_learn`` (over doc_id) holds, by the smallest hashes of doc_id."""
     order = F.xxhash64(F.col("doc_id"), F.lit("voters"))
     known = (

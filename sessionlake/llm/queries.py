@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionlake.llm import (
@@ -47,7 +47,7 @@ def packed(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _remainder(n: int) -> F.Column:
+def _remainder(n: int) -> Column:
     """crc32 of doc_id as text, by ``n``."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
 
