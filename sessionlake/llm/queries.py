@@ -107,7 +107,29 @@ def decontaminated(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("op6_suffix_dedup")
+@query(
+    "op6_suffix_dedup",
+    """
+    WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+    w AS (
+        SELECT doc_id, p, md5(b[p:p + 199]) AS h
+        FROM (SELECT doc_id, b, unnest(range(1, n - 198)) AS p FROM d WHERE n >= 200)),
+    s AS (SELECT doc_id, p FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+    g AS (
+        SELECT doc_id, p, sum(is_first) OVER (PARTITION BY doc_id ORDER BY p) AS run
+        FROM (SELECT *, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 200 THEN 0 ELSE 1 END AS is_first FROM s)),
+    r AS (SELECT doc_id, min(p) AS a, max(p) + 199 AS z FROM g GROUP BY doc_id, run),
+    k AS (
+        SELECT doc_id, lag(z, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) + 1 AS f, a - 1 AS t FROM r
+        UNION ALL
+        SELECT doc_id, coalesce(max(z), 0) + 1, n FROM d LEFT JOIN r USING (doc_id) GROUP BY doc_id, n),
+    cut AS (SELECT doc_id, count(*) AS n_spans, CAST(sum(z - a + 1) AS BIGINT) AS n_removed FROM r GROUP BY 1),
+    kept AS (SELECT doc_id, string_agg(hex(b[f:t]), '' ORDER BY f) AS x FROM k JOIN d USING (doc_id) WHERE t >= f GROUP BY 1)
+    SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+           sha256(unhex(coalesce(x, ''))) AS kept_sha256
+    FROM d LEFT JOIN cut USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
+)
 def without_repeats(spark: SparkSession, sf: str) -> DataFrame:
     """All documents without the bytes of strings that repeat."""
     cut = suffix_dedup.remove_repeats(table(spark, sf, "documents"))
