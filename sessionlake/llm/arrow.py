@@ -16,6 +16,18 @@ STEP_BYTES = 1 << 20
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
+#: Rows of the batches that tasks hand to Python and back. Spark's own number would make batches of whole texts large.
+BATCH_ROWS = "1000"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session that moves batches of ``BATCH_ROWS`` rows, unless it sets another number itself."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(key) == "10000":
+        conf.set(key, BATCH_ROWS)
+    return df
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose texts have about ``limit`` bytes together."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -138,4 +150,4 @@ def add_columns(
                 got = compute(part)
                 yield pa.RecordBatch.from_arrays([got[n] if n in made else part.column(n) for n in names], names)
 
-    return df.mapInArrow(run, StructType(out))
+    return small_batches(df).mapInArrow(run, StructType(out))

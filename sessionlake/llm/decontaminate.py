@@ -194,8 +194,22 @@ FIELDS = [
 ]
 
 
-def _search(block: Automaton | None, earlier: bool):
-    """Word count, hit spans (words and bytes, ends included and not) and items of a run of texts."""
+def _cut(column: pa.Array, spans: list[list[dict]]) -> pa.Array:
+    """Texts without the bytes of their spans; a text without spans as it is."""
+    texts = []
+    for text, own in zip(column.to_pylist(), spans, strict=True):
+        if own:
+            raw, at, kept = text.encode(), 0, []
+            for s in own:
+                kept.append(raw[at : s["start"]])
+                at = s["end"]
+            text = b"".join([*kept, raw[at:]]).decode()
+        texts.append(text)
+    return pa.array(texts, pa.string())
+
+
+def _search(block: Automaton | None, earlier: bool, cut: bool = False):
+    """Word count, hit spans (words and bytes, ends included and not) and items of a run of texts; the texts without them."""
 
     def compute(part: pa.RecordBatch) -> dict[str, pa.Array]:
         if block is None:
@@ -215,11 +229,12 @@ def _search(block: Automaton | None, earlier: bool):
             t = text[a]
             spans[t].append({"first": a - first_word[t], "last": b - first_word[t], "start": starts[a] - at[t], "end": ends[b] - at[t]})
         span = pa.struct([(f.name, pa.int64()) for f in SPAN])
-        return {
+        out = {
             "n_words": pa.array(counts, pa.int64()),
             "spans": pa.array(spans, pa.list_(span)),
             "items": pa.array([sorted(f) for f in found], pa.list_(pa.int64())),
         }
+        return out | {"text": _cut(part.column("text"), spans)} if cut else out
 
     return compute
 
@@ -238,8 +253,8 @@ def item_blocks(benchmark: DataFrame) -> Iterator[Automaton | None]:
         yield build(held)
 
 
-def search(docs: DataFrame, benchmark: DataFrame, drop: tuple[str, ...] = ()) -> DataFrame:
-    """``docs`` with n_words, spans and items.
+def search(docs: DataFrame, benchmark: DataFrame, drop: tuple[str, ...] = (), cut: bool = False) -> DataFrame:
+    """``docs`` with n_words, spans and items; with ``cut`` without the spans in ``text``.
 
     ``spans`` are the maximal runs of hit words: first and last word, and byte
     range in the UTF-8 text. ``items`` are the ids of items with an occurring
@@ -253,7 +268,8 @@ def search(docs: DataFrame, benchmark: DataFrame, drop: tuple[str, ...] = ()) ->
     while True:
         after = next(blocks, ())
         final = after == ()
-        out = add_columns(out, "text", FIELDS, _search(block, earlier), drop if final else ())
+        fields = [*FIELDS, StructField("text", StringType())] if final and cut else FIELDS
+        out = add_columns(out, "text", fields, _search(block, earlier, final and cut), drop if final else ())
         if final:
             return out
         out, block, earlier = materialize(out, "hits"), after, True
@@ -269,19 +285,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, max_coverage: float = MAX_COVER
     def hits() -> Column:
         return F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
 
-    found = search(docs, benchmark).where(hits() <= F.col("n_words") * max_coverage)
-
-    def cut(part: pa.RecordBatch) -> dict[str, pa.Array]:
-        texts = []
-        for text, spans in zip(part.column("text").to_pylist(), part.column("spans").to_pylist(), strict=True):
-            if spans:
-                raw, at, kept = text.encode(), 0, []
-                for s in spans:
-                    kept.append(raw[at : s["start"]])
-                    at = s["end"]
-                text = b"".join([*kept, raw[at:]]).decode()
-            texts.append(text)
-        return {"text": pa.array(texts, pa.string())}
-
-    done = add_columns(found, "text", [StructField("text", StringType())], cut, drop=("n_words", "spans", "items"))
-    return done.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("n_words", "spans", "items")])
+    found = search(docs, benchmark, cut=True).where(hits() <= F.col("n_words") * max_coverage)
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("n_words", "spans", "items")])

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionlake.llm.arrow import LOWER, NOT_BLANK, RangeHash, byte_table, slices, text_bytes, words
+from sessionlake.llm.arrow import LOWER, NOT_BLANK, RangeHash, byte_table, slices, small_batches, text_bytes, words
 
 #: Longest sequence.
 LIMIT = 2048
@@ -204,7 +204,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, limit: int = LIM
         columns = [doc_ids.take(pa.array(row)), *map(pa.array, (start, size, counts[row], size.astype(np.int32))), data]
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "doc_tokens", "bucket", "ids"])
 
-    named = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    named = small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     splits, spark = named.rdd.getNumPartitions(), docs.sparkSession
     tasks = max(2 * spark.sparkContext.defaultParallelism, -(-splits // SPLITS))
     gathered = named.coalesce(tasks) if tasks < splits else named

@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionlake.llm.arrow import ODD, RangeHash, mixed, slices, text_bytes
+from sessionlake.llm.arrow import ODD, RangeHash, mixed, slices, small_batches, text_bytes
 from sessionlake.llm.steps import step
 
 #: Bytes of a string that counts.
@@ -252,7 +252,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     as they are; repeated rows are documents of their own, so all their long
     strings go. Other columns are not read.
     """
-    units = step(pack_units(docs), "units")
+    units = step(pack_units(small_batches(docs)), "units")
     spark = docs.sparkSession
     total = units.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     rows = total * len(COVER) // V

@@ -19,6 +19,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sessionlake.llm.arrow import small_batches
+
 # Fixed values of the formats: the frame marks of Zstandard, the skippable mark
 # that announces a dictionary, and the profile of a revisit of equal payload.
 FRAME = 0xFD2FB528
@@ -155,7 +157,7 @@ def write_archives(rows: DataFrame, archive_size: int = ARCHIVE_BYTES) -> DataFr
         if held:
             yield full()
 
-    return rows.mapInArrow(run, ARCHIVE)
+    return small_batches(rows).mapInArrow(run, ARCHIVE)
 
 
 def _frames(content: bytes) -> Iterator[bytes]:
