@@ -242,7 +242,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     part; they give no id, so a component of such rows alone has NULL. Repeated
     rows have one row each. An empty table gives no rows.
     """
-    named = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), _text_key(docs).alias("text_key"))
+    named = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), text_key(docs).alias("text_key"))
     rows = step(fingerprints(named, ("text",)), "prints")
     classes = step(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "classes")
     roots = components(step(links(classes), "links"))
@@ -254,7 +254,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return rows.join(of_class, "fingerprint").select("doc_id", "text_key", "fingerprint", "root", "component_id")
 
 
-def _text_key(docs: DataFrame) -> Column:
+def text_key(docs: DataFrame) -> Column:
     return F.xxhash64(docs["text"].cast("string"))
 
 
@@ -265,16 +265,20 @@ def hex_digits(fingerprint: Column) -> Column:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each component: one with the smallest doc_id, or without doc_id if none has one."""
+    return first_of_each(docs, near_duplicates(docs))
+
+
+def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """What ``keep_first`` gives, from rows with doc_id, text_key, root and component_id."""
     first = (
-        near_duplicates(docs)
-        .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("root")
         .agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
         .select("first.doc_id", "first.text_key")
     )
     # the row as one column, so that no name of its own can clash
     keyed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), docs["doc_id"].cast("long").alias("id"), _text_key(docs).alias("key")
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), docs["doc_id"].cast("long").alias("id"), text_key(docs).alias("key")
     )
     same = keyed["id"].eqNullSafe(first["doc_id"]) & (keyed["key"] == first["text_key"])
     kept = keyed.join(first, same, "left_semi").dropDuplicates(["id", "key"])  # rows that repeat
