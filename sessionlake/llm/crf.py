@@ -26,7 +26,7 @@ from sessionlake.llm.arrow import LOWER, ODD, RangeHash, add_columns, byte_table
 FIT_DOCS = 3000
 FIT_LINES = 12_000
 
-#: Longest line in bytes that the model is fitted on.
+#: Longest line in bytes that the model is fitted on; longer ones are cut at blanks into several.
 FIT_BYTES = 2000
 
 TABLE = 1 << 16
@@ -200,6 +200,19 @@ def fit(lines: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = 5) -> Mo
     return model
 
 
+def _lines(text: Column) -> Column:
+    """The lines of a text; one of over ``FIT_BYTES`` bytes in pieces, cut at blanks where it has any.
+
+    A character has at most four bytes, so pieces are counted in characters.
+    """
+    size = FIT_BYTES // 4
+    piece = rf"(?s)\S.{{0,{size - 2}}}(?!\S)|\S{{1,{size}}}"
+    cut = lambda line: F.when(F.octet_length(line) <= FIT_BYTES, F.array(line)).otherwise(
+        F.regexp_extract_all(line, F.lit(piece), F.lit(0))
+    )
+    return F.flatten(F.transform(F.split(text, "\n"), cut))
+
+
 def fit_on_documents(docs: DataFrame, may_learn: Column) -> Model | None:
     """A model from documents with text and language of which ``may_learn`` (over doc_id) holds.
 
@@ -215,7 +228,7 @@ def fit_on_documents(docs: DataFrame, may_learn: Column) -> Model | None:
     )
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string"))
     lines = text.join(F.broadcast(chosen.distinct()), ["doc_id", "lang"])  # at most FIT_DOCS rows
-    lines = lines.select("doc_id", "lang", F.explode(F.split("text", "\n")).alias("line")).where(F.octet_length("line").between(1, FIT_BYTES))
+    lines = lines.select("doc_id", "lang", F.explode(_lines(F.col("text"))).alias("line")).where(F.octet_length("line") > 0)
     rows = lines.orderBy(F.xxhash64("line", "doc_id"), "line", "lang").limit(FIT_LINES).collect()
     return fit([(r["line"], r["lang"]) for r in rows])
 

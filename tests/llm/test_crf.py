@@ -82,3 +82,20 @@ def test_edges(spark, edge, edge_rows, empty):
     assert crf.identify(empty, model).count() == 0
     odd = spark.createDataFrame([(1, "12 — …", "en", "s", 1), (2, "漢", "en", "s", 1), (3, "№ ½ ²", "en", "s", 1)], SCHEMA)
     assert [r["lang_pred"] == "und" for r in sorted(crf.identify(odd, model).collect())] == [True, False, True]
+
+
+def test_documents_of_one_long_line_are_learned_from(spark):
+    rows = [(i, " ".join(sentence(lang, 1000 * i + k, 20) for k in range(50))[:5000], lang, "s", 1) for i in range(24) for lang in ("xx" if i % 2 else "yy",)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    model = crf.fit_on_documents(docs, F.col("doc_id") < 16)
+    assert model is not None and model.labels == ["xx", "yy"]
+    assert all(r["lang_pred"] == r["lang"] and r["score"] > 0.9 for r in crf.identify(docs, model).collect())
+
+
+def test_lines_are_cut_at_blanks_and_nothing_is_lost(spark):
+    texts = ["é " * 3000, "漢" * 3000, "short line\n" + "alpha beta " * 400 + "\n\nend", "x" * 1990 + " " + "y" * 700]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").select("text", crf._lines(F.col("text")).alias("lines"))
+    for text, lines in df.collect():
+        assert max(len(x.encode()) for x in lines) <= crf.FIT_BYTES
+        assert "".join("".join(lines).split()) == "".join(text.split())
+    assert set(df.collect()[0]["lines"][0].split()) == {"é"} and "short line" in df.collect()[2]["lines"]
