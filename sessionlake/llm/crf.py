@@ -217,7 +217,8 @@ def fit_on_documents(docs: DataFrame, may_learn: Column) -> Model | None:
     """A model from documents with text and language of which ``may_learn`` (over doc_id) holds.
 
     Documents are chosen by a hash of doc_id, weighted so that each language
-    gives about as many.
+    gives about as many; their lines by a hash too, weighted so that each
+    document gives about as many, or all it has.
     """
     known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & may_learn)
     ids = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
@@ -228,8 +229,10 @@ def fit_on_documents(docs: DataFrame, may_learn: Column) -> Model | None:
     )
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string"))
     lines = text.join(F.broadcast(chosen.distinct()), ["doc_id", "lang"])  # at most FIT_DOCS rows
-    lines = lines.select("doc_id", "lang", F.explode(_lines(F.col("text"))).alias("line")).where(F.octet_length("line") > 0)
-    rows = lines.orderBy(F.xxhash64("line", "doc_id"), "line", "lang").limit(FIT_LINES).collect()
+    lines = lines.select("doc_id", "lang", F.filter(_lines(F.col("text")), lambda x: F.octet_length(x) > 0).alias("lines"))
+    lines = lines.select("doc_id", "lang", F.size("lines").alias("n"), F.explode("lines").alias("line"))
+    drawn = F.shiftrightunsigned(F.xxhash64("line", "doc_id"), 12).cast("double") * F.col("n")
+    rows = lines.orderBy(drawn, "line", "lang").limit(FIT_LINES).collect()
     return fit([(r["line"], r["lang"]) for r in rows])
 
 

@@ -99,3 +99,14 @@ def test_lines_are_cut_at_blanks_and_nothing_is_lost(spark):
         assert max(len(x.encode()) for x in lines) <= crf.FIT_BYTES
         assert "".join("".join(lines).split()) == "".join(text.split())
     assert set(df.collect()[0]["lines"][0].split()) == {"é"} and "short line" in df.collect()[2]["lines"]
+
+
+def test_a_document_of_many_lines_does_not_take_the_sample(spark, monkeypatch):
+    rows = [(1, "\n".join(f"{sentence('xx', k)} {k}" for k in range(4000)), "xx", "s", 1)]
+    rows += [(10 + i, "\n".join(sentence("yy", 10 * i + k) for k in range(10)), "yy", "s", 1) for i in range(40)]
+    monkeypatch.setattr(crf, "FIT_LINES", 200)
+    drawn = []
+    monkeypatch.setattr(crf, "fit", drawn.extend)
+    crf.fit_on_documents(spark.createDataFrame(rows, SCHEMA), F.lit(True))
+    langs = [lang for _, lang in drawn]
+    assert len(langs) == 200 and 0 < langs.count("xx") < 30
