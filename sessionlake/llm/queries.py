@@ -6,12 +6,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionlake.llm import (
-    crf, decontaminate, line_dedup, neighbours, packing, quality_rules, sharding, simhash, suffix_dedup, warc,
+    crf, decontaminate, line_dedup, neighbours, packing, piecewise, quality_rules, resampling, sharding, simhash, spelling,
+    suffix_dedup, warc,
 )
 from sessionlake.llm.registry import ORACLES, QUERIES, table
 from sessionlake.workspace import materialize
 
 
+#: crc32 of a list of bytes ``b``, from a table ``tab`` made by the rule of its polynomial.
+_CRC_TABLE = """
+    tab AS (
+        SELECT list(c ORDER BY i) AS tab FROM (
+            SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+            FROM (SELECT unnest(range(256)) AS i)))"""
+_CRC = """xor(list_reduce(list_prepend(4294967295, {bytes}), lambda c, b: xor(c >> 8, tab[1 + (xor(c, b) & 255)])), 4294967295)"""
+_BYTES = "[CAST(('0x' || h[2 * i + 1:2 * i + 2]) AS BIGINT) FOR i IN range(len(h) // 2)]"
+
+
 def query(name: str, sql: str | None = None):
     def register(fn):
         QUERIES[name] = fn
@@ -219,3 +230,98 @@ def identified(spark: SparkSession, sf: str) -> DataFrame:
     model = crf.fit_on_documents(docs, ~held_out)
     named = crf.identify(docs.select("doc_id", "text"), model, drop=("text",))
     return named.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op11_piecewise")
+def piecewise_hashed(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents with their piecewise hash, against their edited text and the next document."""
+    return piecewise.against_next(table(spark, sf, "documents"))
+
+
+@query(
+    "op12_spelling",
+    rf"""
+    WITH {_CRC_TABLE},
+    runs AS (
+        SELECT doc_id, run, count(*) AS c FROM (
+            SELECT doc_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run
+            FROM documents WHERE text IS NOT NULL)
+        WHERE length(run) >= 7 GROUP BY ALL),
+    hashed AS (
+        SELECT run, c, {_CRC.format(bytes=_BYTES)} AS h
+        FROM (SELECT run, c, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS h FROM runs), tab),
+    words AS (
+        SELECT word, CAST(sum(c) AS BIGINT) AS n FROM (
+            SELECT c, CASE WHEN h % 31 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word FROM hashed)
+        WHERE length(word) >= 7 GROUP BY 1 HAVING sum(c) >= 2),
+    cut AS (
+        SELECT DISTINCT word, n, size, unnest([word[1:i] || word[i + 2:] FOR i IN range(size)]) AS part, unnest(range(size)) AS i
+        FROM (SELECT *, length(word) AS size FROM words)),
+    pairs AS (
+        SELECT DISTINCT a.word AS x, b.word AS y FROM cut a JOIN cut b ON a.part = b.part AND a.i = b.i AND a.word <> b.word
+        UNION SELECT cut.word, w.word FROM cut JOIN words w ON w.word = cut.part
+        UNION SELECT w.word, cut.word FROM cut JOIN words w ON w.word = cut.part),
+    near AS (
+        SELECT x AS word, count(*) AS n_near, first(y ORDER BY w.n DESC, encode(y)) AS best, max(w.n) AS best_n
+        FROM pairs JOIN words w ON w.word = y GROUP BY 1),
+    forms AS (
+        SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * n THEN best END AS form,
+               CASE WHEN best_n >= 10 * n THEN best_n END AS form_n
+        FROM words LEFT JOIN near USING (word)),
+    chain AS (
+        WITH RECURSIVE c AS (
+            SELECT word, form AS further, 1 AS depth FROM forms WHERE form IS NOT NULL
+            UNION ALL SELECT c.word, f.form, depth + 1 FROM c JOIN forms f ON f.word = c.further WHERE f.form IS NOT NULL)
+        SELECT word, arg_max(further, depth) AS root FROM c GROUP BY 1)
+    SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM forms LEFT JOIN chain USING (word)
+    """,
+)
+def spelled(spark: SparkSession, sf: str) -> DataFrame:
+    """All words of the documents, some with a deletion, with their near words and frequent forms."""
+    found = spelling.group_variants(table(spark, sf, "documents"), spelling.with_deletions(31))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query(
+    "op13_resampling",
+    rf"""
+    WITH {_CRC_TABLE},
+    own AS (
+        SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+        FROM documents),
+    s_words AS (SELECT r, unnest(words) AS w FROM own),
+    t_words AS (
+        SELECT unnest(regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+        FROM benchmark),
+    bucket AS (
+        SELECT w, {_CRC.format(bytes=_BYTES)} % 10000 AS b
+        FROM (SELECT w, hex(encode(w)) AS h FROM (SELECT w FROM s_words UNION SELECT w FROM t_words)), tab),
+    s AS (SELECT b, count(*) AS s FROM s_words JOIN bucket USING (w) GROUP BY 1),
+    t AS (SELECT b, count(*) AS t FROM t_words JOIN bucket USING (w) GROUP BY 1),
+    al AS (SELECT (SELECT count(*) FROM s_words) AS big_s, (SELECT count(*) FROM t_words) AS big_t),
+    gain AS (
+        SELECT b, CAST(floor(1000 * ln(
+            (CAST(coalesce(t, 0) + 1 AS DOUBLE) * CAST(big_s + 10000 AS DOUBLE)) / (CAST(coalesce(s, 0) + 1 AS DOUBLE) * CAST(big_t + 10000 AS DOUBLE)))) AS BIGINT) AS g
+        FROM (SELECT unnest(range(10000)) AS b) LEFT JOIN s USING (b) LEFT JOIN t USING (b), al),
+    weighed AS (
+        SELECT r, CAST(floor(CAST(sum(g) AS DOUBLE) / count(*)) AS BIGINT) AS weight
+        FROM s_words JOIN bucket USING (w) JOIN gain USING (b) GROUP BY 1),
+    scored AS (
+        SELECT doc_id, len(words) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+            (CAST(('0x' || sha256('2024:' || CAST(doc_id AS VARCHAR))[1:8]) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+        FROM own LEFT JOIN weighed USING (r)),
+    ranked AS (
+        SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+    SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank
+    FROM scored LEFT JOIN ranked USING (doc_id)
+    """,
+)
+def resampled(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents weighed by their likeness to the benchmark's words, and the tenth that is drawn."""
+    found = resampling.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
