@@ -1,11 +1,13 @@
 """Spelling variants: vocabulary words one edit apart, found in a reduced alphabet.
 
-Letters are hashed to ``SYMBOLS`` symbols. If two words are one insertion,
+Letters are hashed to ``SYMBOLS`` symbols, by code point modulo their number. If two words are one insertion,
 deletion or replacement apart, so are their reduced words, or these are equal.
 So each word sends its reduced word once, and the full neighbourhood of its
 reduced word within one edit as 64-bit keys; equal keys join, and pairs are
-verified on the words themselves. A key that two strings share by chance only
-makes a candidate more.
+verified on the words themselves, in the join. A key that two strings share by
+chance only makes a candidate more. Keys are dealt into ``PASSES`` by their
+value, and a pass ends with its pairs written, so that the neighbourhoods of the
+whole vocabulary are never on disk at once.
 
 The neighbourhood grows with the word's length. Words of ``LONG`` code points or
 more are found by halves instead: one edit leaves the first or the last half of
@@ -26,14 +28,18 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from sessionlake.llm.arrow import ODD, mixed, slices, small_batches
+from sessionlake.llm.arrow import mixed, slices, small_batches
 from sessionlake.llm.steps import step
 
 #: Symbols of the reduced alphabet.
-SYMBOLS = 8
+SYMBOLS = 6
+
+#: Shares of the keys that are joined one after the other.
+PASSES = 8
 
 #: Code points from which on words are found by halves.
 LONG = 48
@@ -93,7 +99,7 @@ def vocabulary(docs: DataFrame, change: Callable[[object, str], str] = as_it_is,
 def _reduced(words: list[str]) -> np.ndarray:
     """Symbols of words of one length (word, place), from 1."""
     points = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.uint64).reshape(len(words), -1)
-    return mixed(points * ODD) % np.uint64(SYMBOLS) + np.uint64(1)
+    return points % np.uint64(SYMBOLS) + np.uint64(1)
 
 
 def _powers(n: int) -> np.ndarray:
@@ -136,46 +142,57 @@ def _by_length(words: list[str]) -> Iterator[list[str]]:
             yield group[i : i + many]
 
 
-def _keyed(words: DataFrame, make: Callable[[list[str]], np.ndarray]) -> DataFrame:
-    """(key, word), each key of a word once."""
+def _keyed(words: DataFrame, make: Callable[[list[str]], np.ndarray], turn: int) -> DataFrame:
+    """(key, *columns of words) for the keys of one pass, each key of a word once."""
+    names = words.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for group in _by_length(batch.column(0).to_pylist()):
+            rows = {w: i for i, w in enumerate(batch.column("word").to_pylist())}
+            for group in _by_length(list(rows)):
                 keys = np.sort(make(group).reshape(len(group), -1), axis=1)
-                new = np.ones(keys.shape, bool)
-                new[:, 1:] = keys[:, 1:] != keys[:, :-1]
-                owner = pa.array(np.repeat(np.arange(len(group)), new.sum(axis=1)))
-                yield pa.RecordBatch.from_arrays([pa.array(keys[new].view(np.int64)), pa.array(group, pa.string()).take(owner)], ["key", "word"])
+                held = keys % np.uint64(PASSES) == turn
+                held[:, 1:] &= keys[:, 1:] != keys[:, :-1]
+                own = np.repeat([rows[w] for w in group], held.sum(axis=1))
+                part = batch.take(pa.array(own, pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(keys[held].view(np.int64)), *part.columns], ["key", *names])
 
-    return small_batches(words.select("word")).mapInArrow(run, "key long, word string")
+    schema = StructType([StructField("key", LongType()), *words.schema.fields])
+    return small_batches(words).mapInArrow(run, schema)
 
 
 def _halves(words: DataFrame) -> DataFrame:
-    """(key, word): for lengths that differ by one at most, equal halves have equal keys."""
+    """(key, *columns of words): for lengths that differ by one at most, equal halves have equal keys."""
     n = F.length("word")
 
-    def half(side: int, size) -> F.Column:
+    def half(side: int, size: Column) -> Column:
         part = F.substr("word", F.lit(1), size) if side == 0 else F.substr("word", n - size + 1, size)
         return F.xxhash64(F.lit(side), part)
 
     first = [half(0, F.floor(n / 2).cast("int")), half(0, F.floor((n - 1) / 2).cast("int"))]
     last = [half(1, F.floor((n + 1) / 2).cast("int")), half(1, F.floor(n / 2).cast("int"))]
-    return words.select(F.explode(F.array_distinct(F.array(*first, *last))).alias("key"), "word")
+    return words.select(F.explode(F.array_distinct(F.array(*first, *last))).alias("key"), *words.columns)
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
-    """(word, near): all ordered pairs of distinct words one inserted, deleted or replaced code point apart."""
-    words = words.select("word")
-    n = F.length("word")
-    short, long = words.where(n <= LONG), words.where(n >= LONG)
-    asked = _keyed(short, neighbour_keys).join(_keyed(short, own_keys).withColumnRenamed("word", "near"), "key")
-    halves = _halves(long)
-    found = asked.unionByName(halves.join(halves.withColumnRenamed("word", "near"), "key"))
+    """(word, near, near_n): all ordered pairs of ``words`` (word, n) one inserted, deleted or replaced code point apart."""
+    size = F.length("word")
+    short, long = words.where(size <= LONG), words.where(size >= LONG)
+
+    def as_near(keyed: DataFrame) -> DataFrame:
+        return keyed.select("key", F.col("word").alias("near"), F.col("n").alias("near_n"))
+
     apart = F.abs(F.length("word") - F.length("near")) <= 1
-    true_pair = apart & (F.col("word") != F.col("near")) & (F.levenshtein("word", "near", 1) == 1)
-    # only long words can meet at several keys
-    return found.where(true_pair).select("word", "near").distinct()
+    one_edit = apart & (F.col("word") != F.col("near")) & (F.levenshtein("word", "near", 1) == 1)
+    halves = _halves(long)
+    # pairs of two words of LONG are among those of the neighbourhoods
+    longer = F.greatest(F.length("word"), F.length("near")) > LONG
+    found = halves.drop("n").join(as_near(halves), "key").where(one_edit & longer).select("word", "near", "near_n").distinct()
+    found = step(found, "long_pairs")
+    for turn in range(PASSES):
+        asked = _keyed(short.select("word"), neighbour_keys, turn).join(as_near(_keyed(short, own_keys, turn)), "key")
+        found = found.unionByName(step(asked.where(one_edit).select("word", "near", "near_n"), "pairs"))
+    return found
 
 
 def with_roots(forms: DataFrame) -> DataFrame:
@@ -208,9 +225,8 @@ def group_variants(docs: DataFrame, change: Callable[[object, str], str] = as_it
     table gives no rows.
     """
     words = step(vocabulary(docs, change, min_length, min_count), "words")
-    pairs = near_pairs(words).join(words.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
     best = F.min(F.struct((-F.col("near_n")).alias("less"), "near"))
-    near = pairs.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), best.alias("best"))
+    near = near_pairs(words).groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), best.alias("best"))
     held = words.join(near, "word", "left")
     fits = -F.col("best.less") >= times * F.col("n")
     forms = held.select(

@@ -85,8 +85,9 @@ def test_words_around_the_length_where_halves_begin(spark):
             base = "".join(rng.choice("abcd") for _ in range(size))
             words |= {base} | {changed(rng, base, "abcd") for _ in range(8)}
     words = sorted(words)
-    pairs = {tuple(r) for r in s.near_pairs(spark.createDataFrame([(w,) for w in words], "word string")).collect()}
-    assert pairs == {(a, b) for a in words for b in words if one_edit(a, b)}
+    pairs = {tuple(r) for r in s.near_pairs(spark.createDataFrame([(w, len(w)) for w in words], "word string, n long")).collect()}
+    assert {(a, b) for a, b, _ in pairs} == {(a, b) for a in words for b in words if one_edit(a, b)}
+    assert all(n == len(b) for _, b, n in pairs)
 
 
 def test_neighbourhoods_are_full():
