@@ -92,32 +92,43 @@ def salt(number: int) -> np.uint64:
 
 
 class RangeHash:
-    """64-bit hashes of byte ranges of one array, from one running sum.
+    """64-bit hashes of byte ranges of one array: eight bytes after the other, each mixed into what came before.
 
-    Each byte stands for a random number, weighted with a power of an odd base;
-    a range's sum is brought back to its start by the power's inverse.
+    Ranges of more than ``LONG`` bytes are hashed one by one with XXH3.
     """
 
-    BASE = 0xD6E8FEB86659FD93
+    LONG = 512
+    #: The bytes of eight that count when 0 to 8 are left.
+    MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
     def __init__(self, data: np.ndarray) -> None:
-        numbers = mixed((np.arange(256, dtype=np.uint64) + np.uint64(1)) * ODD)
-        n = len(data)
-        self.back = self._powers(pow(self.BASE, -1, 1 << 64), n)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(numbers[data] * self._powers(self.BASE, n)[:n], out=sums[1:])
-        self.sums = sums
-
-    @staticmethod
-    def _powers(base: int, n: int) -> np.ndarray:
-        out = np.full(n + 1, base, np.uint64)
-        out[0] = 1
-        return np.cumprod(out, out=out)
+        self.data, self.padded = data, np.append(data, np.zeros(8, np.uint8))
+        # the eight bytes from every place on
+        self.eight = np.ndarray(len(data) + 1, "<u8", self.padded, strides=(1,))
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hashes of the bytes from ``start`` to before ``end``; the length counts too."""
-        length = (end - start).astype(np.uint64)
-        return mixed((self.sums[end] - self.sums[start]) * self.back[start] + length * ODD)
+        length = end - start
+        out = mixed(length.astype(np.uint64) * ODD + ODD)
+        short = length <= self.LONG
+        on = np.flatnonzero(short & (length > 0))
+        done = 0
+        while len(on):
+            left = np.minimum(length[on] - done, 8)
+            more = self.eight[start[on] + done] & self.MASK[left]
+            out[on] = mixed((out[on] ^ mixed(more + ODD)) * ODD + salt(done + 1))
+            done += 8
+            on = on[length[on] > done]
+        rest = np.flatnonzero(~short)
+        if len(rest):
+            out[rest] = self._long(start[rest].tolist(), end[rest].tolist())
+        return out
+
+    def _long(self, start: list[int], end: list[int]) -> list[int]:
+        from xxhash import xxh3_64_intdigest
+
+        view = memoryview(np.ascontiguousarray(self.data))
+        return [xxh3_64_intdigest(view[a:b], 42) for a, b in zip(start, end, strict=True)]
 
 
 def per_text(numbers: np.ndarray, count: int, weights: np.ndarray | None = None) -> np.ndarray:

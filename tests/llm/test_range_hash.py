@@ -1,0 +1,71 @@
+"""Strings that a polynomial modulo a power of two cannot tell apart, through every operator that compares by hash."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from sessionlake.llm import near_copies, packing, quality_rules
+from sessionlake.llm.arrow import RangeHash, text_bytes
+from sessionlake.llm.decontaminate import search
+from tests.llm.conftest import SCHEMA
+
+
+def twins(n: int) -> tuple[str, str]:
+    """The first ``n`` letters of the Thue-Morse sequence and its complement."""
+    return tuple("".join("ab"[i.bit_count() % 2 ^ side] for i in range(n)) for side in (0, 1))
+
+
+@pytest.mark.parametrize("n", [1, 7, 8, 9, 64, 512, 513, 1024, 2048, 4096])
+def test_twins_are_told_apart(n):
+    data = np.frombuffer("".join(twins(n)).encode() * 2, np.uint8)
+    at = np.arange(4) * n
+    a, b, c, d = RangeHash(data).of(at, at + n).tolist()
+    assert a == c != b == d
+
+
+def test_equal_where_the_bytes_are_equal():
+    rng = random.Random(1)
+    raw = bytes(rng.choice(b"ab") for _ in range(3000)) + b"a" * 2000
+    ranges = [(a := rng.randrange(5000), a + rng.choice([0, 1, 2, 3, 8, 9, 16, 17, 600])) for _ in range(4000)]
+    ranges = [(a, min(b, 5000)) for a, b in ranges]
+    h = RangeHash(np.frombuffer(raw, np.uint8)).of(*map(np.array, zip(*ranges, strict=True))).tolist()
+    number = {}
+    for (a, b), x in zip(ranges, h, strict=True):
+        assert number.setdefault(raw[a:b], x) == x
+    assert len(set(number.values())) == len(number)
+    none = np.zeros(0, np.int64)
+    assert len(RangeHash(np.zeros(0, np.uint8)).of(none, none)) == 0
+
+
+def test_lines_that_are_twins_are_not_copies():
+    a, b = twins(2048)
+    data, at = text_bytes(pa.array([f"{a}\n{b}\n{a}", f"{a} x y {b} x y"]))
+    got = quality_rules.statistics(data, at)
+    assert got["n_dup_lines"].tolist() == [1, 0] and got["n_repeat_words"].tolist() == [0, 0]
+
+
+def test_words_that_are_twins_have_ids_of_their_own():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = [f"{t} end" for t in twins(2048)]
+    ids, counts = packing.tokens(*text_bytes(pa.array(texts)), packing.WordIds(path), 1)
+    want = [[*e.ids, 1] for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    assert np.split(ids, np.cumsum(counts)[:-1])[0].tolist() == want[0] and ids.tolist() == sum(want, [])
+
+
+def test_items_with_a_twin_hit_nothing(spark):
+    a, b = twins(1024)
+    docs = spark.createDataFrame([(i, f"one two three {w} four five six seven eight nine", "en", "s", 1) for i, w in enumerate((a, b))], SCHEMA)
+    items = spark.createDataFrame([(1, f"one two three {a} four five six seven eight nine")], "item_id long, text string")
+    assert {r["doc_id"]: len(r["spans"]) for r in search(docs, items).collect()} == {0: 1, 1: 0}
+
+
+def test_texts_of_twins_are_not_near(spark):
+    docs = spark.createDataFrame([(i, f"one {w} two", "en", "s", 1) for i, w in enumerate(twins(1024))], SCHEMA)
+    assert near_copies.keep_first(docs).count() == 2
