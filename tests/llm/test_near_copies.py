@@ -76,9 +76,44 @@ def test_groups_that_one_member_does_not_connect(spark):
     members = spark.createDataFrame([(1, i) for i in sets], "band long, same long")
     table = spark.createDataFrame([(i, sorted(s)) for i, s in sets.items()], "same long, shingles array<long>")
     want = roots([(i, j) for i in range(30) for j in range(30) if i // 10 == j // 10], sets)
-    for all_pairs in (4, 100):
-        pairs = [(r["u"], r["v"]) for r in nc.links(members, table, all_pairs=all_pairs).collect()]
-        assert roots(pairs, sets) == want
+    pairs = [(r["u"], r["v"]) for r in nc.links(members, table).collect()]
+    assert roots(pairs, sets) == want
+
+
+def test_candidates_of_a_large_group_are_few(spark):
+    # 2,000 members in 200 components, most shingles in common: copies of a component differ by one, components by a quarter
+    sets = {}
+    for c in range(200):
+        own = set(range(75)) | {1000 + 25 * c + k for k in range(25)}
+        sets |= {10 * c + i: (own - {1000 + 25 * c + i}, 10 * c) for i in range(10)}
+    df = spark.createDataFrame([(i, r, sorted(s)) for i, (s, r) in sets.items()], "same long, root long, shingles array<long>")
+    assert nc.candidates(df).count() <= len(sets)
+    # without components: those of a component, and few others
+    alone = df.withColumn("root", df["same"])
+    pairs = {(r["u"], r["v"]) for r in nc.candidates(alone).collect()}
+    assert {(a, b) for a in sets for b in sets if a < b and a // 10 == b // 10} <= pairs and len(pairs) <= 10 * len(sets)
+
+
+def test_no_alike_pair_is_missing_among_candidates(spark):
+    rng = random.Random(6)
+    sets = {}
+    for i in range(300):
+        size, pool = rng.randint(1, 40), rng.choice([12, 45, 60])
+        sets[i] = set(rng.sample(range(pool), min(size, pool)))
+    df = spark.createDataFrame([(i, i % 7, sorted(s)) for i, s in sets.items()], "same long, root long, shingles array<long>")
+    for similarity in (0.5, 0.8, 1.0):
+        pairs = {(r["u"], r["v"]) for r in nc.candidates(df, similarity).collect()}
+        alike = {(a, b) for a in sets for b in sets if a < b and a % 7 != b % 7 and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b])}
+        assert alike <= pairs and all(a % 7 != b % 7 for a, b in pairs)
+
+
+def test_a_family_around_one_text(spark):
+    # copies of one text that lost up to 40 of 100 shingles to words of their own: only the nearer ones are alike
+    rng = random.Random(9)
+    base = words(77, 104, 5000).replace("\n", " ")
+    docs = {0: base} | {i: changed(rng, base, rng.randint(0, 8)) for i in range(1, 250)}
+    rows = nc.near_duplicates(spark.createDataFrame([(i, t, "en", "s", 1) for i, t in docs.items()], SCHEMA)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == components_of(docs)
 
 
 def test_edges(spark, edge, edge_rows, empty):
