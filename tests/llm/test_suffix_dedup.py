@@ -3,6 +3,9 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+
 from sessionlake.llm import suffix_dedup as s
 from tests.llm.conftest import SCHEMA, words
 
@@ -59,3 +62,38 @@ def test_edges(edge, edge_rows, empty):
     assert sorted(str(r["doc_id"]) for r in rows) == sorted(str(r[0]) for r in edge_rows)
     assert all(bytes(r["kept"]) == b"" for r in rows if r["doc_id"] in (5, 6))
     assert s.remove_repeats(empty).count() == 0
+
+
+def test_a_passage_that_very_many_documents_have(spark, monkeypatch):
+    # 160 equal bytes with others around them: nothing repeats for 200 bytes, whatever halves of numbers are equal by chance
+    monkeypatch.setattr(s, "UNIT_BYTES", 100_000)
+    monkeypatch.setattr(s, "HOT", 50)
+    rng = np.random.default_rng(1)
+    passage = rng.integers(97, 123, 160)
+    around = rng.integers(97, 123, (8000, 2, 70))
+    texts = [bytes(np.concatenate([a, passage, b]).astype(np.uint8).tolist()).decode() for a, b in around]
+    texts += [texts[5], texts[7][:230] + "Q" + texts[7][231:]]
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], SCHEMA)
+    removed = {r["doc_id"]: r["n_removed"] for r in s.remove_repeats(df).collect()}
+    assert {i: n for i, n in removed.items() if n} == {5: 300, 8000: 300, 7: 230, 8001: 230}
+
+
+def test_hot_ranks_are_dealt_by_what_is_around(spark, monkeypatch):
+    monkeypatch.setattr(s, "HOT", 1)
+    monkeypatch.setattr(s, "UNIT_BYTES", 2000)
+    base = words(11, 200)
+    rng = random.Random(4)
+    texts = [words(rng.random(), 20) + base[k : k + 300] + words(rng.random(), 20) for k in range(0, 900, 50)] * 2
+    compare(spark, texts + [base, base[:250] + "x" + base])
+
+
+def test_numbers_of_a_bucket():
+    # two members of rank 4 have equal bytes around, a third has not; rank 6 has one kind only; rank 9 is hot
+    pairs = np.array([(4, 1), (4, 1), (4, 2), (6, 3), (6, 3), (9, 5)], "<u8")
+    blocks = pa.table({
+        "bucket": pa.array([0, 0], pa.int32()), "unit": pa.array([1, 2], pa.int64()),
+        "numbers": pa.array([pairs[[0, 2, 3, 5]].tobytes(), pairs[[1, 4]].tobytes()], pa.binary()),
+    })
+    got = dict(zip(*(s.Bucket(blocks, 2).settled(2).column(c).to_pylist() for c in ("unit", "answer")), strict=True))
+    bits = {u: np.unpackbits(np.frombuffer(b, np.uint8))[: 2 * n].reshape(-1, 2).tolist() for (u, b), n in zip(sorted(got.items()), (4, 2), strict=True)}
+    assert bits == {1: [[1, 1], [0, 1], [1, 0], [0, 1]], 2: [[1, 0], [1, 0]]}
