@@ -10,7 +10,7 @@ from sessionlake.llm import (
     suffix_dedup, warc,
 )
 from sessionlake.llm.registry import ORACLES, QUERIES, table
-from sessionlake.workspace import materialize
+from sessionlake.workspace import materialize, scratch
 
 
 #: crc32 of a list of bytes ``b``, from a table ``tab`` made by the rule of its polynomial.
@@ -210,9 +210,12 @@ def without_lines(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def warc_records(spark: SparkSession, sf: str) -> DataFrame:
-    """All pages written as archives, and what is read back of them."""
+    """All pages written as archive files, and what is read back of them."""
     archives = warc.write_archives(warc.with_revisits(table(spark, sf, "pages")))
-    records = warc.read_archives(materialize(archives, "archives"))
+    folder = scratch(spark, "archives")
+    materialize(warc.write_files(archives, folder), "written")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
+    records = warc.read_archives(files, "path", "content")
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
