@@ -36,7 +36,8 @@ def marker_stream(spark: SparkSession, root: str, max_files: int = 30) -> DataFr
     """The end markers below an ingestion folder by their path in it, at most ``max_files`` per trigger.
 
     Lists the folder at every trigger. Where the store sends notifications,
-    ``notification_stream`` reads those instead.
+    ``notification_stream`` reads those instead. ``written`` is the marker's
+    time, for ``plans.reset.after_cursors``.
     """
     return (
         spark.readStream.schema("value string")
@@ -44,7 +45,9 @@ def marker_stream(spark: SparkSession, root: str, max_files: int = 30) -> DataFr
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", max_files)
         .text(root)
-        .select(relative_marker(F.col("_metadata.file_path")).alias("path"))
+        .select(
+            relative_marker(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_modification_time").alias("written")
+        )
     )
 
 

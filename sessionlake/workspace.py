@@ -67,6 +67,53 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory()]
 
 
+def child_paths(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the files and folders right below ``path``; none if it is not there."""
+    fs, p = _file_system(spark, path)
+    return [f.getPath().toString() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file whole, unless there is one: then nothing happens and False comes back.
+
+    The content goes to a file of its own first, which then gets the name if no
+    other has it. Needs a file system whose rename refuses a name that is taken.
+    """
+    fs, p = _file_system(spark, path)
+    if fs.exists(p):
+        return False
+    own = p.suffix(f".{uuid.uuid4().hex}.tmp")
+    out = fs.create(own, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    made = not fs.exists(p) and fs.rename(own, p)
+    if not made:
+        fs.delete(own, False)
+    return made
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file in place of the one that may be there."""
+    fs, p = _file_system(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of a small file."""
+    fs, p = _file_system(spark, path)
+    source = fs.open(p)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
+
+
 def size_of(spark: SparkSession, path: str) -> int:
     """Bytes of a file or of all files below a folder; 0 if it is not there."""
     fs, p = _file_system(spark, path)

@@ -1,0 +1,117 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from sessionlake.streaming import dashboard as d
+
+SCHEMA = "id long, ts timestamp, kind string, value long"
+T0 = dt.datetime(2024, 1, 1)
+
+
+def measures():
+    return {"n": F.count(F.lit(1)), "total": F.sum("value")}
+
+
+def row(i, minutes, kind="a", value=1):
+    return (i, None if minutes is None else T0 + dt.timedelta(minutes=minutes), kind, value)
+
+
+class Feed:
+    """A folder of files that a stream reads one by one."""
+
+    def __init__(self, spark, path):
+        self.spark, self.path, self.n = spark, str(path / "in"), 0
+        self.all = []
+        schema = spark.createDataFrame([], SCHEMA).schema
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{self.path}/*")
+        self.stream = d.windowed(stream, "ts", "10 minutes", ["kind"], measures(), "20 minutes", ["id"])
+        batch = d.windowed(spark.createDataFrame([], SCHEMA), "ts", "10 minutes", ["kind"], measures())
+        self.to = d.Latest(spark, str(path / "latest"), batch.schema, [d.START, d.END, "kind"], fold_loads=4)
+        self.checkpoint = str(path / "checkpoint")
+
+    def send(self, rows):
+        self.n += 1
+        self.all += rows
+        self.spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{self.path}/{self.n:03}")
+
+    def run(self):
+        query = d.start_dashboard(self.stream, self.to, self.checkpoint, once=True)
+        query.awaitTermination()
+        return query
+
+    def batch(self, rows=None):
+        return d.windowed(self.spark.createDataFrame(self.all if rows is None else rows, SCHEMA), "ts", "10 minutes", ["kind"], measures(), None, ["id"])
+
+
+@pytest.fixture
+def feed(spark, tmp_path):
+    return Feed(spark, tmp_path)
+
+
+def shown(df):
+    rows = [tuple(r) for r in df.collect()]
+    assert len(rows) == len(set(r[:3] for r in rows))
+    return sorted(rows, key=repr)
+
+
+def test_the_same_as_a_batch_over_repeated_and_disordered_rows(feed):
+    feed.send([row(i, i, "ab"[i % 2], i) for i in range(30)])
+    feed.run()
+    assert shown(feed.to.rows()) == shown(feed.batch())
+    feed.send([row(i, i, "ab"[i % 2], i) for i in range(10, 30)])  # sent again
+    feed.send([row(100 + i, 15 + i, None, None) for i in range(20)] + [row(200, None)])
+    feed.run()
+    feed.run()  # nothing new
+    assert shown(feed.to.rows()) == shown(feed.batch())
+    for k in range(5):  # more loads than are kept apart
+        feed.send([row(300 + 10 * k + i, 40 + 10 * k + i, "c", i) for i in range(10)])
+        feed.run()
+    assert shown(feed.to.rows()) == shown(feed.batch())
+    assert len(feed.to._parts()[1]) < 4
+
+
+def test_rows_that_come_too_late_are_settled_from_what_is_stored(feed):
+    feed.send([row(i, i) for i in range(20)])
+    feed.send([row(100, 200)])
+    feed.send([row(101, 201)])
+    late = [row(500, 3, "a", 50), row(501, 4, "late", 7)]
+    feed.send(late)
+    query = feed.run()
+    on_time = [r for r in feed.all if r not in late]
+    assert shown(feed.to.rows()) == shown(feed.batch(on_time)) and d.dropped_late(query) == 2
+    mark = d.watermark(query).replace(tzinfo=None)
+    assert mark == T0 + dt.timedelta(minutes=181)
+    d.settle(feed.batch(), feed.to, None, mark)
+    assert shown(feed.to.rows()) == shown(feed.batch())
+    feed.send([row(600, 205, "b")])
+    feed.run()  # later batches leave what is settled
+    feed.to.fold()
+    assert shown(feed.to.rows()) == shown(feed.batch())
+
+
+def test_a_batch_that_is_repeated_counts_once(spark, feed):
+    def load(n):
+        return feed.batch([row(0, 5, "a", n)])
+
+    feed.to.put(load(1), 0)
+    feed.to.put(load(2), 1)
+    feed.to.put(load(2), 1)
+    assert shown(feed.to.rows()) == shown(load(2))
+    feed.to.fold()
+    feed.to.put(load(1), 0)  # from before the fold
+    feed.to.put(load(2), 1)
+    assert shown(feed.to.rows()) == shown(load(2))
+    feed.to.put(load(3), 2)
+    assert shown(feed.to.rows()) == shown(load(3))
+
+
+def test_a_load_that_broke_off_is_not_read(spark, feed, tmp_path):
+    feed.to.put(feed.batch([row(0, 5)]), 0)
+    before = shown(feed.to.rows())
+    feed.to.put(feed.batch([row(1, 5), row(2, 5)]), 1)
+    (tmp_path / "latest" / "load" / "1-0" / "_SUCCESS").unlink()
+    assert shown(feed.to.rows()) == before
+    assert d.Latest(spark, str(tmp_path / "none"), feed.to.schema, feed.to.keys).rows().count() == 0
