@@ -105,7 +105,11 @@ class Voters:
         k = min(NEIGHBOURS, len(self.vectors))
         for a in range(0, len(counts), BLOCK):
             near = self.place(counts[a : a + BLOCK]) @ self.vectors.T
-            best = np.argpartition(-near, k - 1, axis=1)[:, :k]
+            least = np.partition(near, -k, axis=1)[:, -k, None]
+            # of equally near ones those that come first: of the smallest doc_id
+            equal = near == least
+            spare = k - (near > least).sum(1, keepdims=True)
+            best = np.nonzero((near > least) | (equal & (np.cumsum(equal, axis=1, dtype=np.int16) <= spare)))[1].reshape(-1, k)
             weight = np.maximum(np.take_along_axis(near, best, 1), 1e-6).astype(float)
             out[a : a + BLOCK] = (weight * self.labels[best]).sum(1) / weight.sum(1)
         return np.clip(out, 0.0, 1.0)
@@ -148,6 +152,7 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, may_learn: Column) -> Vote
         lambda part: {"counts": _packed(term_counts(*text_bytes(part.column("text"))))}, drop=("text",),
     )
     rows = counted.orderBy(order, "doc_id", F.xxhash64("counts")).limit(2 * ROWS_PER_LABEL).collect()
+    rows = sorted(rows, key=lambda r: (r["doc_id"], bytes(r["counts"])))
     unpress = zstandard.ZstdDecompressor()
     counts = np.stack([np.frombuffer(unpress.decompress(r["counts"]), "<f4") for r in rows]) if rows else np.zeros((0, TERMS), np.float32)
     return fit(counts, np.array([r["quality"] for r in rows], float))
@@ -156,8 +161,9 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, may_learn: Column) -> Vote
 def vote(docs: DataFrame, voters: Voters | None, drop: tuple[str, ...] = ()) -> DataFrame:
     """``docs`` with ``score`` (0 to 1, higher for label 1) and ``predicted``.
 
-    NULL and empty texts have no terms: their vector is zero, all neighbours
-    are equally near, and the score is that of some of them. Without voters all
+    Of neighbours that are equally near those of smaller doc_id vote. NULL and
+    empty texts have no terms: their vector is zero, all are equally near, and
+    the score is that of the first by doc_id. Without voters all
     scores are 0.5. Columns of the input with these names give way.
     """
 

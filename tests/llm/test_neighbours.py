@@ -23,6 +23,21 @@ def test_scores_as_by_all_cosines():
     assert got[0] > 0.9 and got[1] < 0.1
 
 
+def test_equally_near_ones_vote_in_order():
+    counts = n.term_counts(*text_bytes(pa.array([words(1, 60)] * 20 + [words(2, 60)] * 20)))
+    for first in (1.0, 0.0):
+        labels = np.array([first] * n.NEIGHBOURS + [1 - first] * (40 - n.NEIGHBOURS))
+        voters = n.fit(counts, labels)
+        assert voters.scores(n.term_counts(*text_bytes(pa.array([words(1, 60), "", None])))).tolist() == [first] * 3
+
+
+def test_empty_texts_get_the_labels_of_the_smallest_ids(spark):
+    docs = spark.createDataFrame([(i, words(i, 60), "en", "s", 1) for i in range(40)] + [(99, None, "en", "s", 0)], SCHEMA)
+    labels = spark.createDataFrame([(i, int(i < n.NEIGHBOURS), 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    rows = n.vote(docs, n.fit_on_labels(docs, labels, F.lit(True))).where("doc_id = 99").collect()
+    assert [r["score"] for r in rows] == [1.0]
+
+
 def test_held_out_rows_are_never_learned_from(spark):
     docs = [(i, words(i, 60) if i % 2 else words(i, 60).upper(), "en", "s", 1) for i in range(200)]
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(200)], "doc_id long, quality int, toxic int")
