@@ -144,7 +144,15 @@ def zone_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def publish_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Create the final table, publish the same upload twice, and find it there once."""
-    return per_day(spark.table(published(spark, sf_dir)))
+    return per_day(spark.table(publish_twice(spark, sf_dir)))
+
+
+def publish_twice(spark: SparkSession, sf_dir: str) -> str:
+    """A new final table into which the upload is published twice."""
+    database = new_table(spark, "wh_")
+    for _ in range(2):
+        publish_upload(spark, refined(spark, sf_dir), UPLOAD, database, "sessions")
+    return f"`{database}`.sessions"
 
 
 def new_table(spark: SparkSession, prefix: str) -> str:
@@ -165,10 +173,7 @@ def published(spark: SparkSession, sf_dir: str) -> str:
     """The final table with the upload published twice; made once while the events stay the same."""
     key = (spark.sparkContext.applicationId, sf_dir, fingerprint(spark, f"{sf_dir}/events.parquet"))
     if key not in _published:
-        database = new_table(spark, "wh_")
-        for _ in range(2):
-            publish_upload(spark, refined(spark, sf_dir), UPLOAD, database, "sessions")
-        _published[key] = f"`{database}`.sessions"
+        _published[key] = publish_twice(spark, sf_dir)
     return _published[key]
 
 

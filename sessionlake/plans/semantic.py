@@ -192,9 +192,10 @@ def _visits(
         return explore(sessions, by, filters, value)
     if PART not in sessions.columns:
         return explore(sessions, by, filters, value, distinct=True)
-    split = materialize(sessions.filter(F.col(PART) > 0).select(*SESSION_KEY).distinct(), "split_sessions")
-    if split.isEmpty():
+    further = sessions.filter(F.col(PART) > 0).select(*SESSION_KEY)
+    if further.isEmpty():
         return explore(sessions, by, filters, value, distinct=True)
+    split = materialize(further.distinct(), "split_sessions")
     whole = explore(sessions.join(split, SESSION_KEY, "left_anti"), by, filters, value, distinct=True)
     keys = {f"_{k}": F.col(k) for k in SESSION_KEY}
     parts = explore(sessions.join(split, SESSION_KEY, "left_semi"), by, filters, {**value, **keys}, distinct=True)

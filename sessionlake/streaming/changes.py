@@ -168,10 +168,12 @@ def start_merge(
 
     def batch(df: DataFrame, batch_id: int) -> None:
         held = df.persist()
-        valid, rejected = split_valid(held, rules)
-        rejected.write.mode("overwrite").json(f"{dead_letters}/batch_{batch_id}")
-        replica.merge(valid)
-        held.unpersist()
+        try:
+            valid, rejected = split_valid(held, rules)
+            rejected.write.mode("overwrite").json(f"{dead_letters}/batch_{batch_id}")
+            replica.merge(valid)
+        finally:
+            held.unpersist()
 
     writer = changes.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if once else {"processingTime": every}
