@@ -1,4 +1,4 @@
-"""File sets, the streamed dashboard, masking, policies, map cells and features, over the test tables."""
+"""File sets, the streamed dashboard, masking, policies, map cells, features and lineage, over the test tables."""
 
 from __future__ import annotations
 
@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sessionlake.contracts import PART
+from sessionlake.contracts import GOLD, PART
 from sessionlake.operators import masking
 from sessionlake.operators.asof import features_asof
 from sessionlake.operators.cells import cells, pyramid, with_place
+from sessionlake.operators.conform import conform
+from sessionlake.operators.lineage import lineage_rows, values
 from sessionlake.operators.policy import Policies
 from sessionlake.plans.adapt import cents, gold, table
 from sessionlake.plans.catalog.registry import query
 from sessionlake.plans.catalog.tiles import SESSIONS
+from sessionlake.plans.catalog.zones import EVENT_SESSIONS, refined
 from sessionlake.sources.filesets import FileSet, start_append
 from sessionlake.streaming.dashboard import END, START, Latest, settle, start_dashboard, watermark, windowed
 from sessionlake.workspace import materialize, scratch
@@ -310,3 +313,32 @@ def visitor_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     measures = {"cents": cents(F.col("value")), "purchases": (F.col("event_type") == "purchase").cast("long")}
     made = features_asof(table(spark, sf_dir, "events"), ["user_id"], F.to_date("ts"), measures, {"week": 7, "ever": None})
     return made.withColumn("day", F.col("day").cast("string"))
+
+
+@query(
+    "lineage_values",
+    f"""
+    WITH s AS (
+        SELECT count(*) AS n, count(*) FILTER (n_hits = 1) AS bounces, count(*) FILTER (purchases > 0) AS sales FROM ({EVENT_SESSIONS})),
+    h AS (
+        SELECT count(*) AS n, count(*) FILTER (event_type = 'purchase' AND value IS NOT NULL) AS sales,
+               count(json_extract_string(props, '$.k')) AS paths
+        FROM events)
+    SELECT target, target AS source, n_values FROM (
+        SELECT unnest(['visitId', 'visitNumber', 'visitStartTime', 'channelGrouping', 'date', 'fullVisitorId', 'socialEngagementType',
+                       'totals.hits', 'totals.visits', 'totals.transactions']) AS target, s.n AS n_values FROM s
+        UNION ALL SELECT 'totals.bounces', bounces FROM s
+        UNION ALL SELECT 'totals.transactionRevenue', sales FROM s
+        UNION ALL SELECT unnest(['hits.type', 'hits.time', 'hits.hitNumber', 'hits.isEntrance', 'hits.isExit', 'hits.isInteraction',
+                                 'hits.page.hostname']), h.n FROM h
+        UNION ALL SELECT 'hits.page.pagePath', paths FROM h
+        UNION ALL SELECT 'hits.transaction.transactionRevenue', sales FROM h)
+    WHERE n_values > 0
+    """,
+)
+def lineage_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold leaves that have values, the raw leaf each comes from by the plan that made it, and how many there are."""
+    zones = refined(spark, sf_dir)
+    made = conform(zones.zone(spark, "bronze"), GOLD)
+    counted = values(zones.zone(spark, "gold").select(*GOLD.fieldNames())).where("n > 0")
+    return lineage_rows(made).join(counted.select(F.col("leaf").alias("target"), F.col("n").alias("n_values")), "target")
