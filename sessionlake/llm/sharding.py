@@ -23,6 +23,9 @@ HISTOGRAM_ROWS = 1 << 18
 #: Rows that are numbered together inside a shard.
 SLOT_ROWS = 2000
 
+#: Parts that the rows of one text are spread over when they meet its place.
+SALTS = 32
+
 #: Share of a node's weight by which a cut may miss, so that equal texts stay together.
 TOLERANCE = 0.001
 
@@ -48,9 +51,10 @@ def shard(
 
     ``size`` is the text's UTF-8 bytes (NULL: none) plus 1. The tree is cut
     until leaves hold ``target_bytes``, or until there are ``shards`` leaves.
-    The law is ``bytes``: sizes of shards are near equal. Equal texts with
-    equal metadata stay in one shard unless they weigh more than the tolerance;
-    then they are cut by a hash of doc_id. Slots count from 0 without gaps. A
+    The law is ``bytes``: sizes of shards are near equal. Equal texts stay in one
+    shard, whatever their metadata, unless they weigh more than the tolerance;
+    then they are cut by a hash of doc_id. Their place is that of their least
+    value in each dimension. Slots count from 0 without gaps. A
     dimension that is not in the table is left out; NULL comes first. Rows
     that repeat each get a slot; an empty table gives no rows.
     """
@@ -60,14 +64,14 @@ def shard(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.shiftrightunsigned(F.xxhash64(text), 64 - TEXT_BITS).alias("text_key"),
+        F.xxhash64(text).alias("text_hash"),
         F.shiftrightunsigned(F.xxhash64(F.lit("row"), F.col("doc_id")), 64 - ROW_BITS).alias("row_key"),
         *[_number(docs, d).alias(f"d{i}") for i, d in enumerate(have)],
     )
-    if not have:
-        rows = rows.withColumn("d0", F.lit(0.0))
-    rows = materialize(rows, "shard-rows")
     count = len(have) or 1
+    rows = _one_place(materialize(rows, "shard-rows"), count) if have else rows.withColumn("d0", F.lit(0.0))
+    rows = rows.withColumn("text_key", F.shiftrightunsigned("text_hash", 64 - TEXT_BITS)).drop("text_hash")
+    rows = materialize(rows, "shard-places")
     total, n, *ends = rows.agg(
         F.sum("size"), F.count(F.lit(1)), *[f(f"d{i}") for i in range(count) for f in (F.min, F.max)]
     ).first()
@@ -79,6 +83,19 @@ def shard(
     )
 
 
+def _one_place(rows: DataFrame, count: int) -> DataFrame:
+    """``rows`` with equal texts at one place; a text that very many rows have is salted."""
+    dims = [f"d{i}" for i in range(count)]
+    apart = [f(d).alias(f"{n}_{d}") for d in dims for f, n in ((F.min, "least"), (F.max, "most"))]
+    texts = rows.groupBy("text_hash", "text_crc32").agg(*apart)
+    moved = texts.where(" OR ".join(f"least_{d} < most_{d}" for d in dims)).select(
+        "text_hash", "text_crc32", *[f"least_{d}" for d in dims], F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    )
+    salted = rows.withColumn("salt", F.pmod("row_key", F.lit(SALTS)).cast("int"))
+    met = salted.join(moved, ["text_hash", "text_crc32", "salt"], "left")
+    return met.withColumns({d: F.coalesce(f"least_{d}", d) for d in dims}).select(*rows.columns)
+
+
 def _key(dim: Column, spans: list[tuple[float, float]]) -> Column:
     """A row's key along the dimension of its node: place, then text, then row."""
     place = F.lit(0)
