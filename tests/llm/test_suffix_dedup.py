@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 
 from sessionlake.llm import suffix_dedup as s
 from tests.llm.conftest import SCHEMA, words
@@ -67,7 +68,6 @@ def test_edges(edge, edge_rows, empty):
 def test_a_passage_that_very_many_documents_have(spark, monkeypatch):
     # 160 equal bytes with others around them: nothing repeats for 200 bytes, whatever halves of numbers are equal by chance
     monkeypatch.setattr(s, "UNIT_BYTES", 100_000)
-    monkeypatch.setattr(s, "HOT", 50)
     rng = np.random.default_rng(1)
     passage = rng.integers(97, 123, 160)
     around = rng.integers(97, 123, (8000, 2, 70))
@@ -78,13 +78,53 @@ def test_a_passage_that_very_many_documents_have(spark, monkeypatch):
     assert {i: n for i, n in removed.items() if n} == {5: 300, 8000: 300, 7: 230, 8001: 230}
 
 
-def test_hot_ranks_are_dealt_by_what_is_around(spark, monkeypatch):
-    monkeypatch.setattr(s, "HOT", 1)
-    monkeypatch.setattr(s, "UNIT_BYTES", 2000)
+def in_one_process(texts, per_unit, buckets=7):
+    """All rounds without Spark, and the largest bucket of each."""
+    units = []
+    for k in range(0, len(texts), per_unit):
+        raw = [t.encode() for t in texts[k : k + per_unit]]
+        packed = zstandard.ZstdCompressor().compress(b"".join(raw))
+        units.append(({"doc_ids": list(range(k, k + len(raw))), "sizes": [len(r) for r in raw], "texts": packed}, [{}, {}, {}]))
+    largest = []
+    for round_ in (1, 2, 3):
+        sent = {}
+        for u, (unit, got) in enumerate(units):
+            made = s.Unit(unit, buckets)
+            blocks = (lambda: made.samples(), lambda: made.shared(got[0])[1], lambda: made.suffixes(got[0], got[1])[2])[round_ - 1]()
+            for bucket, numbers in blocks.sent():
+                sent.setdefault(bucket, []).append((u, numbers))
+        largest.append(max((sum(len(n) for _, n in rows) for rows in sent.values()), default=0))
+        for bucket, rows in sent.items():
+            table = pa.table({
+                "bucket": pa.array([bucket] * len(rows), pa.int32()), "unit": pa.array([u for u, _ in rows], pa.int64()),
+                "numbers": pa.array([n for _, n in rows], pa.binary()),
+            })
+            held = s.Bucket(table, 2 if round_ == 2 else 1)
+            answers = held.ranks() if round_ == 1 else held.settled(round_)
+            for u, answer in zip(*(answers.column(c).to_pylist() for c in ("unit", "answer")), strict=True):
+                units[u][1][round_ - 1][bucket] = answer
+    out = []
+    for unit, got in units:
+        made = s.Unit(unit, buckets)
+        kept = s._kept(unit, made.removed(*got), made.at, made.data).to_pylist()
+        out += [(r["n_bytes"], r["n_removed"], len(r["spans"]), r["kept"]) for r in kept]
+    return out, largest
+
+
+def test_hot_ranks_are_dealt_by_what_is_around(monkeypatch):
     base = words(11, 200)
     rng = random.Random(4)
     texts = [words(rng.random(), 20) + base[k : k + 300] + words(rng.random(), 20) for k in range(0, 900, 50)] * 2
-    compare(spark, texts + [base, base[:250] + "x" + base])
+    texts += [base, base[:250] + "x" + base, "", "y" * 199, "z" * 700]
+    passage = words(12, 40)[:180]
+    texts += [words(rng.random(), 12) + passage + words(rng.random(), 12) for _ in range(150)] + [words(5, 30) + passage + words(6, 30)] * 3
+    found = []
+    for hot in (1, 20, 10**9):
+        monkeypatch.setattr(s, "HOT", hot)
+        made, largest = in_one_process(texts, 4)
+        assert made == by_hand(texts)
+        found.append(largest[1])
+    assert found[0] < found[2]  # a bucket no longer holds all members of the passage
 
 
 def test_numbers_of_a_bucket():
