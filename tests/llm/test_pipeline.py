@@ -39,7 +39,7 @@ def test_stages_take_effect(spark, tmp_path):
 
 def test_registered(spark):
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES} and set(QUERIES) < set(names)
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES} and set(QUERIES) < set(names)
     assert names["pipeline"] is p.run and set(ORACLES) <= set(entry.oracle_sql()) and set(ORACLES) <= set(QUERIES)
 
 
