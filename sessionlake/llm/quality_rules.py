@@ -1,14 +1,16 @@
 """Quality rules: statistics of whole texts, hard limits, and an isolation forest over the statistics.
 
-The forest is grown from rows labelled as good, each statistic as the rareness
-of its value among them; a row whose path from the roots is short is unlike
-them. The limit for the score comes from labelled rows that the forest has not
-seen. What the driver gets is a sample of labelled rows
-of at most ``FIT_ROWS``; the forest it sends out has a fixed size.
+The forest is grown from half of the rows labelled as good, each statistic as the
+rareness of its value among them; a row whose path from the roots is short is
+unlike them. The limit for the score comes from all labelled rows that the forest
+has not seen. Every labelled row is counted, in the tasks: what the driver gets are
+counts by step of each statistic and by leaf of each tree, which do not grow with
+the rows, and the forest it sends out has a fixed size.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,11 +20,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField
 
 from sessionlake.llm.arrow import NOT_BLANK, ODD, RangeHash, add_columns, byte_table, mixed, per_text, text_bytes, words
+from sessionlake.llm.steps import step
 
-#: Most labelled rows that the forest and its limit are made from.
-FIT_ROWS = 8192
 TREES = 100
-TREE_ROWS = 256
+
+#: Levels of splits of a tree.
+HEIGHT = 8
+
+#: Steps of a doubling of a statistic, and the reciprocal of the least value that is told from 0.
+STEPS = 1024
+FINEST = 4096
 
 #: Share of good rows that the limit may reject.
 GOOD_LOSS = 0.002
@@ -31,6 +38,7 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+LEVELS = tuple(f"{c}_level" for c in COUNTS[1:])
 SYMBOL = byte_table(lambda b: chr(b) in "#*$%&|<>")
 CHAR_START = byte_table(lambda b: b & 0xC0 != 0x80)
 
@@ -90,21 +98,15 @@ def _repeat_words(hashes: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
     return per_text(text[covered], n)
 
 
-def features(counts: dict[str, np.ndarray]) -> np.ndarray:
-    """Statistics per word, which do not grow with the text."""
-    n = np.maximum(1, counts["n_words"]).astype(float)
-    return np.column_stack([counts[c] / n for c in COUNTS[1:]])
+def levels(counts: dict[str, np.ndarray]) -> np.ndarray:
+    """Statistics per word, which do not grow with the text, as steps of ``STEPS`` to the octave.
 
-
-def rareness(x: np.ndarray, good: np.ndarray) -> np.ndarray:
-    """How far out in the sorted columns of ``good`` each value lies: -log10 of its tail, negative for the lower one."""
-    n, out = len(good), np.zeros_like(x)
-    for f in range(x.shape[1]):
-        above = n - np.searchsorted(good[:, f], x[:, f], "left")
-        below = np.searchsorted(good[:, f], x[:, f], "right")
-        tail = -np.log10((np.minimum(above, below) + 1) / (n + 1))
-        out[:, f] = np.where(above < below, tail, -tail)
-    return out
+    There are as many steps as doublings allow, however many rows there are, so
+    all rows can be counted by step.
+    """
+    n = np.maximum(1, counts["n_words"]).astype(float)
+    each = np.column_stack([counts[c] / n for c in COUNTS[1:]])
+    return np.floor(STEPS * np.log2(1 + each * FINEST)).astype(np.int64)
 
 
 def _mean_depth(n: np.ndarray) -> np.ndarray:
@@ -116,78 +118,76 @@ def _mean_depth(n: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Forest:
-    """Isolation trees in arrays (tree, node); ``limit`` is the largest score that passes."""
+    """Isolation trees in arrays (tree, node), node k above 2k + 1 and 2k + 2; ``limit`` is the largest score that passes."""
 
-    good: np.ndarray  # sorted columns of the good rows that values are compared with
+    steps: list[np.ndarray]  # of each statistic, those that good rows have
+    rows_to: list[np.ndarray]  # how many good rows have that step or a lower one
+    rows: int
     feature: np.ndarray
     cut: np.ndarray
-    child: np.ndarray
-    depth: np.ndarray
-    rows: int
+    depth: np.ndarray | None = None  # path length of each leaf
     limit: float = np.inf
 
+    def rareness(self, x: np.ndarray) -> np.ndarray:
+        """How far out among the good rows each value lies: -log10 of its tail, negative for the lower one."""
+        out = np.zeros(x.shape)
+        for f, (step_, to) in enumerate(zip(self.steps, self.rows_to, strict=True)):
+            to = np.append(0, to)
+            above = self.rows - to[np.searchsorted(step_, x[:, f], "left")]
+            below = to[np.searchsorted(step_, x[:, f], "right")]
+            tail = -np.log10((np.minimum(above, below) + 1) / (self.rows + 1))
+            out[:, f] = np.where(above < below, tail, -tail)
+        return out
+
+    def leaves(self, x: np.ndarray) -> Iterator[np.ndarray]:
+        """The leaf that each row comes to, tree by tree."""
+        x, at = self.rareness(x), np.arange(len(x))
+        for feature, cut in zip(self.feature, self.cut, strict=True):
+            node = np.zeros(len(x), np.int64)
+            for _ in range(HEIGHT):
+                node = 2 * node + 1 + (x[at, feature[node]] >= cut[node])
+            yield node - len(feature)
+
     def scores(self, x: np.ndarray) -> np.ndarray:
         """Between 0 and 1; near 1 for rows that few splits set apart."""
-        x = rareness(x, self.good)
-        total, at = np.zeros(len(x)), np.arange(len(x))
-        for feature, cut, child, depth in zip(self.feature, self.cut, self.child, self.depth, strict=True):
-            node = np.zeros(len(x), np.int64)
-            while (inner := child[node] > 0).any():
-                right = x[at, feature[node]] >= cut[node]
-                node = np.where(inner, child[node] + right, node)
-            total += depth[node]
-        return 2.0 ** -(total / len(self.feature) / max(1.0, float(_mean_depth(self.rows))))
+        total = np.zeros(len(x))
+        for depth, leaf in zip(self.depth, self.leaves(x), strict=True):
+            total += depth[leaf]
+        return 2.0 ** -(total / len(self.depth) / max(1.0, float(_mean_depth(self.rows))))
 
 
-def grow(good: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: int = 7) -> Forest:
-    """Splits at random values of random features, until rows are alone or a tree is as deep as its mean path.
+def plant(steps: list[np.ndarray], rows_to: list[np.ndarray], trees: int = TREES, seed: int = 7) -> Forest:
+    """Trees of ``HEIGHT`` levels that split at random values of random statistics, their leaves not yet counted.
 
-    A value is drawn from the whole range that is left of a feature, not only
-    from where rows are. So a feature that no good row varies in still sets
-    apart those that do.
+    A value is drawn from the whole range that is left of a statistic, not only
+    from where rows are. So one that no good row varies in still sets apart
+    those that do, and no row is needed to draw the splits.
     """
-    held = np.sort(good, axis=0)
-    x, most_rare = rareness(good, held), np.log10(len(good) + 1)
-    rng, rows = np.random.default_rng(seed), min(rows, len(x))
-    most = int(np.ceil(np.log2(max(2, rows))))
-    size = 2 << most
-    feature, child = np.zeros((trees, size), np.int64), np.zeros((trees, size), np.int64)
-    cut, depth = np.zeros((trees, size)), np.zeros((trees, size))
+    rows = int(rows_to[0][-1])
+    rng, most_rare, inner = np.random.default_rng(seed), np.log10(rows + 1), (1 << HEIGHT) - 1
+    feature, cut = rng.integers(len(steps), size=(trees, inner)), np.zeros((trees, inner))
     for t in range(trees):
-        low, high = np.full(x.shape[1], -most_rare), np.full(x.shape[1], most_rare)
-        todo, used = [(0, rng.choice(len(x), rows, replace=False), 0, low, high)], 1
-        while todo:
-            node, inside, level, low, high = todo.pop()
-            if len(inside) < 2 or level >= most:
-                depth[t, node] = level + float(_mean_depth(len(inside)))
-                continue
-            f = rng.integers(x.shape[1])
-            at = rng.uniform(low[f], high[f])
-            feature[t, node], cut[t, node], child[t, node] = f, at, used
-            right = x[inside, f] >= at
+        ranges = {0: (np.full(len(steps), -most_rare), np.full(len(steps), most_rare))}
+        for node in range(inner):
+            low, high = ranges.pop(node)
+            f = feature[t, node]
+            at = cut[t, node] = rng.uniform(low[f], high[f])
             up, down = low.copy(), high.copy()
             up[f], down[f] = at, at
-            todo += [(used, inside[~right], level + 1, low, down), (used + 1, inside[right], level + 1, up, high)]
-            used += 2
-    return Forest(held, feature, cut, child, depth, rows)
-
-
-def fit(x: np.ndarray, good: np.ndarray) -> Forest | None:
-    """A forest of half of the good rows; its limit parts the other half from the bad rows.
-
-    The limit rejects at most ``GOOD_LOSS`` of those good rows, and catches as
-    many bad rows as it then can; where several limits do equally well, it lies
-    in the middle of them. Without good rows there is no forest and all pass.
-    """
-    clean = np.flatnonzero(good)
-    if len(clean) < 2:
-        return None
-    forest = grow(x[clean[::2]])
-    passing, bad = np.sort(forest.scores(x[clean[1::2]])), forest.scores(x[~good])
-    floor = passing[int(np.ceil((1 - GOOD_LOSS) * (len(passing) - 1)))]
-    above = np.sort(bad[bad > floor])
-    forest.limit = float((floor + above[0]) / 2) if len(above) else float(floor)
-    return forest
+            ranges[2 * node + 1], ranges[2 * node + 2] = (low, down), (up, high)
+    return Forest(steps, rows_to, rows, feature, cut)
+
+
+def path_lengths(counts: np.ndarray) -> np.ndarray:
+    """Path length of each leaf from the rows in it: a path ends where fewer than two rows are left, or at a leaf."""
+    trees, leaves = counts.shape
+    out, ended = np.zeros((trees, leaves)), np.zeros((trees, leaves), bool)
+    for level in range(HEIGHT + 1):
+        inside = np.repeat(counts.reshape(trees, 1 << level, -1).sum(axis=2), leaves >> level, axis=1)
+        here = ~ended & ((inside < 2) | (level == HEIGHT))
+        out[here] = level + _mean_depth(inside[here])
+        ended |= here
+    return out
 
 
 def _base_failed(counts: dict[str, np.ndarray]) -> np.ndarray:
@@ -199,28 +199,77 @@ def _stat_arrays(counts: dict[str, np.ndarray]) -> dict[str, pa.Array]:
     return {c: pa.array(counts[c], pa.int64()) for c in COUNTS}
 
 
-def fit_on_labels(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Forest | None:
-    """A forest from the ``rows`` labelled documents whose doc_id has the smallest hashes."""
-    order = F.xxhash64(F.col("doc_id"), F.lit("forest"))
-    chosen = (
+def _levels_of(part: pa.RecordBatch) -> np.ndarray:
+    return np.column_stack([part.column(c).to_numpy() for c in LEVELS])
+
+
+def _leaf_counts(rows: DataFrame, forest: Forest) -> np.ndarray:
+    """How many of ``rows`` come to each leaf (tree, leaf); a task counts its own and sends one row a leaf."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((len(forest.feature), 1 << HEIGHT), np.int64)
+        for batch in batches:
+            for t, leaf in enumerate(forest.leaves(_levels_of(batch))):
+                counts[t] += np.bincount(leaf, minlength=1 << HEIGHT)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts.reshape(-1)[at])], ["leaf", "n"])
+
+    held = rows.mapInArrow(run, "leaf long, n long").groupBy("leaf").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(len(forest.feature) << HEIGHT, np.int64)
+    counts[held["leaf"].to_numpy()] = held["n"].to_numpy()
+    return counts.reshape(len(forest.feature), -1)
+
+
+def fit_on_labels(docs: DataFrame, labels: DataFrame) -> Forest | None:
+    """A forest of half of the good documents; its limit parts the other half from the bad ones.
+
+    All labelled documents that the base rules pass take part; a hash of the
+    doc_id tells the halves. The limit rejects at most ``GOOD_LOSS`` of the
+    other half, and catches as many bad ones as it then can; where several
+    limits do equally well, it lies in the middle of them. With fewer than two
+    good documents there is no forest and all pass; where a half would be
+    empty, both are all of them.
+    """
+    fields = [StructField(c, LongType()) for c in LEVELS] + [StructField("base_failed", BooleanType())]
+
+    def compute(part: pa.RecordBatch) -> dict[str, pa.Array]:
+        counts = statistics(*text_bytes(part.column("text")))
+        made = dict(zip(LEVELS, (pa.array(x) for x in levels(counts).T), strict=True))
+        return made | {"base_failed": pa.array(_base_failed(counts))}
+
+    quality = (
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-        .agg(F.min(F.col("quality").cast("int")).alias("quality"))
-        .orderBy(order, "doc_id")
-        .limit(rows)
+        .agg((F.min(F.col("quality").cast("int")) == 1).alias("good"))
     )
+    # counted before the join, so that no text is moved
     named = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    sample = named.join(F.broadcast(chosen), "doc_id")  # at most ``rows`` rows
-    counted = add_columns(
-        sample, "text", [StructField(c, LongType()) for c in COUNTS],
-        lambda part: _stat_arrays(statistics(*text_bytes(part.column("text")))), drop=("text",),
-    )
-    held = counted.orderBy(order, "doc_id", *COUNTS).limit(rows).toPandas()
-    if not len(held):
+    counted = add_columns(named, "text", fields, compute, drop=("text",)).where("NOT base_failed")
+    half = F.pmod(F.xxhash64("doc_id", F.lit("forest")), F.lit(2)).cast("int")
+    rows = step(counted.join(quality, "doc_id").select("good", half.alias("half"), *LEVELS), "labelled")
+    sizes = {r["half"]: r["n"] for r in rows.where("good").groupBy("half").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if sum(sizes.values()) < 2:
         return None
-    counts = {c: held[c].to_numpy() for c in COUNTS}
-    passed = ~_base_failed(counts)  # the forest judges what the base rules pass
-    return fit(features(counts)[passed], held["quality"].to_numpy()[passed] == 1)
+    both = len(sizes) == 2
+    grown = rows.where("good").where("half = 0" if both else "true")
+    each = grown.unpivot([], list(LEVELS), "feature", "step").groupBy("feature", "step").agg(F.count(F.lit(1)).alias("n"))
+    held = each.toPandas().sort_values("step")  # a row for each step that there is
+    columns = [held[held["feature"] == c] for c in LEVELS]
+    forest = plant([c["step"].to_numpy() for c in columns], [c["n"].cumsum().to_numpy() for c in columns])
+    forest.depth = path_lengths(_leaf_counts(grown, forest))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("good"), pa.array(forest.scores(_levels_of(batch)))], ["good", "score"])
+
+    judged = rows.where("NOT good OR half = 1" if both else "true").select("good", *LEVELS)
+    scored = step(judged.mapInArrow(score, "good boolean, score double"), "scored")
+    passing = sizes[1] if both else sum(sizes.values())
+    rejected = passing - 1 - int(np.ceil((1 - GOOD_LOSS) * (passing - 1)))
+    floor = scored.where("good").orderBy(F.desc("score")).offset(rejected).limit(1).first()["score"]
+    above = scored.where(~F.col("good") & (F.col("score") > floor)).agg(F.min("score")).first()[0]
+    forest.limit = floor if above is None else (floor + above) / 2
+    return forest
 
 
 def rate(docs: DataFrame, forest: Forest | None, drop: tuple[str, ...] = ()) -> DataFrame:
@@ -236,7 +285,7 @@ def rate(docs: DataFrame, forest: Forest | None, drop: tuple[str, ...] = ()) ->
     def compute(part: pa.RecordBatch) -> dict[str, pa.Array]:
         counts = statistics(*text_bytes(part.column("text")))
         failed = _base_failed(counts)
-        score = forest.scores(features(counts)) if forest else np.full(len(failed), np.nan)
+        score = forest.scores(levels(counts)) if forest else np.full(len(failed), np.nan)
         kept = ~failed & (score <= forest.limit) if forest else ~failed
         return _stat_arrays(counts) | {
             "base_failed": pa.array(failed), "anomaly": pa.array(score, from_pandas=True), "kept": pa.array(kept)

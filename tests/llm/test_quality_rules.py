@@ -3,6 +3,9 @@ from __future__ import annotations
 import re
 from collections import Counter
 
+import numpy as np
+from pyspark.sql import functions as F
+
 from sessionlake.llm import quality_rules as q
 from tests.llm.conftest import SCHEMA, words
 
@@ -54,3 +57,23 @@ def test_labels_of_one_kind_with_nulls_and_repeats(spark, edge):
     forest = q.fit_on_labels(edge, labels)
     rows = q.rate(edge, forest).collect()
     assert len(rows) == edge.count() and rows[0]["row"] == "own row"
+
+
+def test_every_labelled_row_counts(spark):
+    texts = [words(i, 60, 60) for i in range(40)]
+    docs = spark.range(20_000).selectExpr("id AS doc_id").withColumn(
+        "text", F.element_at(F.array(*[F.lit(t) for t in texts]), (F.col("doc_id") % len(texts) + 1).cast("int"))
+    )
+    labels = docs.selectExpr("doc_id", "1 AS quality", "0 AS toxic")
+    passed = [i for i, t in enumerate(texts) if not counts(t)["base_failed"]]
+    grown = docs.where((F.col("doc_id") % len(texts)).isin(passed) & (F.pmod(F.xxhash64("doc_id", F.lit("forest")), F.lit(2)) == 0)).count()
+    forest = q.fit_on_labels(docs, labels)
+    assert forest.rows == grown > 8192 / 2
+    assert all(to[-1] == grown for to in forest.rows_to)
+
+
+def test_path_lengths_end_where_rows_are_alone():
+    leaves = np.zeros((1, 1 << q.HEIGHT), np.int64)
+    leaves[0, 0], leaves[0, -1] = 1, 5
+    depth = q.path_lengths(leaves)[0]
+    assert depth[0] == 1 and depth[-2] == q.HEIGHT and depth[-1] == q.HEIGHT + q._mean_depth(5)
