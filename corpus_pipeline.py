@@ -2,7 +2,7 @@
 
     quality      rules and an isolation forest; documents that fail go
     lines        lines that repeat earlier ones go, and documents left without any
-    near_copies  one document of each group of near-duplicates stays
+    near_copies  one document of each group stays: of those that fingerprints link, and those of alike shingles
     benchmark    benchmark passages go, and documents that are mostly such
     packing      pieces of binary length, one a sequence
 
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlake.llm import decontaminate, line_dedup, packing, quality_rules
+from sessionlake.llm import decontaminate, line_dedup, packing, quality_rules, simhash
 from sessionlake.llm import near_copies as shingled
 from sessionlake.llm.registry import table
 from sessionlake.llm.steps import step
@@ -39,7 +39,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return shingled.keep_first(docs)
+    found = shingled.joined(simhash.near_duplicates(docs), shingled.near_duplicates(docs))
+    return simhash.first_of_each(docs, found)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -181,3 +181,19 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 def keep_first(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with one row of each component: one with the smallest doc_id, or without doc_id if none has one."""
     return first_of_each(docs, near_duplicates(docs, similarity))
+
+
+def joined(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Rows like those of ``near_duplicates``, of the components that two such frames of the same rows make together.
+
+    What either of them connects is connected.
+    """
+    own = a.select("doc_id", "text_key", F.col("root").alias("x"))
+    other = b.groupBy("text_key").agg(F.min("root").alias("y"))  # equal texts have one root
+    both = step(own.join(other, "text_key"), "both")
+    least = both.groupBy("x").agg(F.min("y").alias("least"), F.max("y").alias("most")).where("least <> most")
+    edges = both.select("x", "y").distinct().join(least, "x").where("y <> least").select(F.col("y").alias("u"), F.col("least").alias("v"))
+    roots = components(edges)
+    rooted = both.join(roots, both["y"] == roots["node"], "left").select("doc_id", "text_key", F.coalesce("root", "y").alias("root"))
+    ids = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return rooted.join(ids, "root").select("doc_id", "text_key", "root", "component_id")

@@ -50,3 +50,15 @@ def test_empty_tables(spark, tmp_path):
     save(spark.createDataFrame([], "page_id long, url string, html string"), tmp_path, "pages")
     for name, run in {**QUERIES, "pipeline": p.run}.items():
         assert run(spark, str(tmp_path)).count() == 0, name
+
+
+def test_near_copies_by_fingerprints_and_by_shingles(spark):
+    one, two = words(1, 120, 100_000).split(), words(2, 120, 100_000).split()
+    # a passage said often weighs in the fingerprint, and its other shingles are few of many
+    often = words(3, 41, 100_000).split() * 60
+    texts = {1: " ".join(often + one[:60]), 2: " ".join(often + two[:60]), 3: " ".join(two), 4: " ".join([*two[:-3], "x", "y", "z"]), 5: words(6, 120, 100_000)}
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    by_shingles = {r["doc_id"] for r in p.shingled.keep_first(docs).collect()}
+    by_prints = {r["doc_id"] for r in p.simhash.keep_first(docs).collect()}
+    assert by_shingles == {1, 2, 3, 5} and by_prints == {1, 3, 4, 5}
+    assert {r["doc_id"] for r in p.near_copies(spark, docs, "").collect()} == {1, 3, 5}
