@@ -39,9 +39,9 @@ from sessionlake.workspace import scratch
     """,
 )
 def scan_ndjson(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw sessions as NDJSON, read back with the declared schema."""
+    """Raw sessions as compressed NDJSON, read back with the declared schema."""
     path = scratch(spark, "ndjson")
-    export_ndjson(bronze(spark, sf_dir).select(*RAW.fieldNames()), path)
+    export_ndjson(bronze(spark, sf_dir).select(*RAW.fieldNames()), path, gzip=True)
     hits = F.when(F.col("hits").isNull(), 0).otherwise(F.size("hits"))
     return (
         read_sessions(spark, path)
