@@ -2,10 +2,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sessionlake.contracts import SESSION_KEY
+from sessionlake.contracts import GOLD, MONTH, PART, SESSION_KEY
 from sessionlake.operators import skew
+from sessionlake.operators.conform import conform
 from sessionlake.operators.nested import nest, rejoin, renest
 from sessionlake.plans import adapt
+from sessionlake.workspace import exists
 
 SF = "/root/testdata/sf0.001"
 
@@ -28,3 +30,14 @@ def test_rejoined_sessions_are_found_without_sorting_them(spark):
     sessions = adapt.with_row_id(adapt.gold(spark, SF).select(*SESSION_KEY, "hits"))
     plan = rejoin(sessions, ["_row"])._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan
+
+
+def test_a_gold_zone_needs_no_bronze_zone(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(adapt, "_lakes", {})
+    monkeypatch.setattr(adapt, "scratch", lambda spark, name: str(tmp_path / name))
+    gold = adapt.gold(spark, SF)
+    assert not exists(spark, str(tmp_path / "lake" / "bronze"))
+    # and has the rows that a bronze zone would give
+    again = conform(adapt.bronze(spark, SF), GOLD, keep=[PART, *MONTH])
+    assert gold.schema.simpleString() == again.schema.simpleString()
+    assert gold.count() == again.count() and gold.exceptAll(again).count() == 0
