@@ -168,14 +168,15 @@ class FileSet:
     def _written(self, load: str) -> DataFrame:
         """The files of a load with their size, rows and ranges; reads the leaves of the ranges and no others."""
         rows = self._read([f"load={load}"])
-        path = F.col("_metadata.file_path")
-        file = F.concat(F.lit(f"load={load}"), F.element_at(F.split(path, f"/data/load={load}", 2), 2))
-        inside = F.regexp_replace(file, "/?[^/]*$", "")
-        folder = F.regexp_replace(inside, "^load=[^/]*/?", "")
         kept = [agg(c).alias(f"{side}_{n}") for n, c in self.ranges.items() for agg, side in ((F.min, "low"), (F.max, "high"))]
-        return rows.groupBy(file.alias("file"), folder.alias("folder"), F.col("_metadata.file_size").alias("bytes")).agg(
+        # the names are cut out of the paths of files, not of rows
+        found = rows.groupBy(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes")).agg(
             F.count(F.lit(1)).alias("n_rows"), *kept
         )
+        file = F.concat(F.lit(f"load={load}"), F.element_at(F.split("path", f"/data/load={load}", 2), 2))
+        inside = F.regexp_replace(file, "/?[^/]*$", "")
+        folder = F.regexp_replace(inside, "^load=[^/]*/?", "")
+        return found.select(file.alias("file"), folder.alias("folder"), *[c for c in found.columns if c != "path"])
 
     def _store(self, rows: DataFrame) -> DataFrame:
         """Write a load and return its list."""

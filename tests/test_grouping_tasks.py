@@ -7,6 +7,7 @@ from sessionlake.operators import skew
 from sessionlake.operators.conform import conform
 from sessionlake.operators.nested import nest, rejoin, renest
 from sessionlake.plans import adapt
+from sessionlake.sources.filesets import FileSet
 from sessionlake.workspace import exists
 
 SF = "/root/testdata/sf0.001"
@@ -41,3 +42,14 @@ def test_a_gold_zone_needs_no_bronze_zone(spark, tmp_path, monkeypatch):
     again = conform(adapt.bronze(spark, SF), GOLD, keep=[PART, *MONTH])
     assert gold.schema.simpleString() == again.schema.simpleString()
     assert gold.count() == again.count() and gold.exceptAll(again).count() == 0
+
+
+def test_files_of_a_load_are_named_once_a_file(spark, tmp_path):
+    rows = spark.range(100).withColumn("d", F.col("id") % 3)
+    files = FileSet(spark, str(tmp_path / "set"), rows.schema, by=["d"], ranges={"id": F.col("id")})
+    listed = files._store(rows.repartition(2))
+    assert listed.agg(F.sum("n_rows")).first()[0] == 100
+    assert {r["folder"] for r in listed.collect()} == {"d=0", "d=1", "d=2"}
+    plan = listed._jdf.queryExecution().optimizedPlan().toString()
+    naming = [line.strip(" +-") for line in plan.splitlines() if "regexp_replace" in line]
+    assert naming and all(line.startswith("Aggregate") for line in naming)
